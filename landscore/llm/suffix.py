@@ -69,15 +69,21 @@ def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:m], ahead[width - 1 : width - 1 + m])
 
 
-def regions(a: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For blocks of a text's bytes: names, first starts and ends (exclusive) of the regions' starts."""
+def regions(a: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For blocks of a text's bytes: names, first starts and ends (exclusive) of the regions' starts, and names that may
+    repeat inside one region: the smallest hash stands at several places, as in periodic text."""
+    width = length - gram + 1
     for at in range(0, max(0, len(a) - length + 1), BLOCK):
-        name = sliding_min(gram_hashes(a[at : at + BLOCK + length - 1], gram), length - gram + 1)
+        h = gram_hashes(a[at : at + BLOCK + length - 1], gram)
+        name = sliding_min(h, width)
         new = np.ones(len(name), bool)
         new[1:] = name[1:] != name[:-1]
         new[::MOST_STARTS] = True
         first = np.flatnonzero(new)
-        yield name[first], at + first, at + np.append(first[1:], len(name))
+        ends = np.full(width - 1, ~np.uint64(0))
+        #: A place's hash is smallest in some window if it equals the largest name of the windows over it.
+        chosen, times = np.unique(h[~sliding_min(np.concatenate([ends, ~name, ends]), width) == h], return_counts=True)
+        yield name[first], at + first, at + np.append(first[1:], len(name)), chosen[times > 1]
 
 
 def induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, heads: np.ndarray) -> np.ndarray:
@@ -256,7 +262,7 @@ def name_hashes(docs: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = (np.frombuffer(t.encode("utf-8", "surrogatepass"), np.uint8) for t in b.column(0).to_pylist())
-            yield unique_hashes([name for a in texts for name, _, _ in regions(a, length, gram)])
+            yield unique_hashes([x for a in texts for name, _, _, again in regions(a, length, gram) for x in (name, again)])
 
     return docs.select("text").where(F.octet_length("text") >= length).mapInArrow(run, "h long, twice boolean")
 
@@ -274,7 +280,7 @@ def suspect_regions(docs: DataFrame, length: int, gram: int) -> DataFrame:
             had: set[tuple[int, bytes]] = set()
             for i, rk, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 data = text.encode("utf-8", "surrogatepass")
-                for name, first, end in regions(np.frombuffer(data, np.uint8), length, gram):
+                for name, first, end, _ in regions(np.frombuffer(data, np.uint8), length, gram):
                     ok = seen.holds(name)
                     for m, x, y in zip(name[ok].view(np.int64).tolist(), first[ok].tolist(), end[ok].tolist(), strict=True):
                         content = data[x : y + length - 1]
@@ -294,7 +300,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
     """did, rk, spans (array of first, end, first, end ... of bytes that go) of the rows that lose bytes."""
     found = suspect_regions(docs, length, gram)
     distinct = stage(found.groupBy("name", "d1", "d2").agg(F.count("*").alias("n"), F.max("content").alias("content")), "distinct_regions")
-    per_name = distinct.groupBy("name").agg(F.count("*").alias("k"), F.max("n").alias("most")).where("k > 1 or most > 1")
+    per_name = distinct.groupBy("name").agg(F.count("*").alias("k"))
     hot = stage(per_name.where(F.col("k") > most_regions).select("name"), "hot_names")
     some_hot = hot.limit(1).count() > 0
     cool = distinct.join(sized(hot), "name", "left_anti") if some_hot else distinct
@@ -317,10 +323,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
 
         def settle() -> Iterator[pa.RecordBatch]:
             nonlocal size, held
-            if len(group) == 1:
-                name, d1, d2, n, content = group[0]
-                if n > 1:
-                    yield packed([(name, d1, d2, [0, len(content) - length + 1])])
+            if len(group) == 1 and group[0][3] > 1:
+                name, d1, d2, _, content = group[0]
+                yield packed([(name, d1, d2, [0, len(content) - length + 1])])
             else:
                 held += group
                 size += sum(len(r[4]) for r in group)
