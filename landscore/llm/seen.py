@@ -20,42 +20,45 @@ PROBES, BITS, GENERATION, MOST_BYTES, SEGMENTS = 4, 12, 1 << 17, 64 << 20, 64
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)]
 
 
+def probes(h: np.ndarray, mask: np.ndarray | np.uint64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Byte and bit of each of a hash's places in a filter of mask + 1 bits."""
+    a = (h ^ (h >> np.uint64(32))) * _M[0]
+    b = ((h * _M[1]) >> np.uint64(17)) | np.uint64(1)
+    for i in range(PROBES):
+        x = ((a + np.uint64(i) * b) >> np.uint64(9)) & mask
+        yield (x >> np.uint64(3)).astype(np.int64), np.left_shift(np.uint8(1), (x & np.uint64(7)).astype(np.uint8))
+
+
 class Bloom:
-    def __init__(self, bits: int, data: np.ndarray | None = None):
+    def __init__(self, bits: int):
         self.mask = np.uint64(bits - 1)
-        self.data = np.zeros(bits // 8, np.uint8) if data is None else data
-
-    def _at(self, h: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        a = (h ^ (h >> np.uint64(32))) * _M[0]
-        b = ((h * _M[1]) >> np.uint64(17)) | np.uint64(1)
-        for i in range(PROBES):
-            x = ((a + np.uint64(i) * b) >> np.uint64(9)) & self.mask
-            yield (x >> np.uint64(3)).astype(np.int64), np.left_shift(np.uint8(1), (x & np.uint64(7)).astype(np.uint8))
+        self.data = np.zeros(bits // 8, np.uint8)
 
     def add(self, h: np.ndarray) -> None:
-        for byte, bit in self._at(h):
+        for byte, bit in probes(h, self.mask):
             np.bitwise_or.at(self.data, byte, bit)
 
     def holds(self, h: np.ndarray) -> np.ndarray:
         out = np.ones(len(h), bool)
-        for byte, bit in self._at(h):
+        for byte, bit in probes(h, self.mask):
             out &= (self.data[byte] & bit) != 0
         return out
 
 
 class Twice:
-    """The twice-filters of all segments, for use on executors."""
+    """The twice-filters of all segments, one behind the other, for use on executors."""
 
     def __init__(self, filters: dict[int, bytes], segments: int):
-        self.filters = {k: Bloom(len(b) * 8, np.frombuffer(b, np.uint8)) for k, b in filters.items()}
         self.segments = np.uint64(segments)
+        sizes = np.array([len(filters.get(k, bytes(8))) for k in range(segments)], np.int64)
+        self.data = np.frombuffer(b"".join(filters.get(k, bytes(8)) for k in range(segments)), np.uint8)
+        self.first, self.mask = np.cumsum(sizes) - sizes, (sizes * 8 - 1).astype(np.uint64)
 
     def holds(self, h: np.ndarray) -> np.ndarray:
-        out, seg = np.zeros(len(h), bool), (h >> np.uint64(32)) % self.segments
-        for k in np.unique(seg):
-            if (f := self.filters.get(int(k))) is not None:
-                at = np.flatnonzero(seg == k)
-                out[at] = f.holds(h[at])
+        seg = ((h >> np.uint64(32)) % self.segments).astype(np.int64)
+        first, out = self.first[seg], np.ones(len(h), bool)
+        for byte, bit in probes(h, self.mask[seg]):
+            out &= (self.data[first + byte] & bit) != 0
         return out
 
 

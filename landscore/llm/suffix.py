@@ -22,6 +22,7 @@ own, so repeated rows remove each other's long enough texts; a null doc_id is re
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -144,19 +145,26 @@ def induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, heads: np.ndarra
 
 
 def doubled(r: np.ndarray) -> np.ndarray:
-    """Order of the suffixes of a string of numbers that ends with one found nowhere else in it."""
-    _, rank = np.unique(r, return_inverse=True)
-    rank, n, step = rank.astype(np.int64), len(r), 1
-    while True:
-        follow = np.zeros(n, np.int64)
-        follow[:-step] = rank[step:] + 1
-        key = rank * (n + 1) + follow
-        order = np.argsort(key, kind="stable")
-        new = np.empty(n, np.int64)
-        new[order] = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
-        rank, step = new, step * 2
-        if rank[order[-1]] == n - 1 or step >= n:
-            return order
+    """Order of the suffixes of a string of names (0, 1, ... without gaps) that ends with one found nowhere else in it. A
+    rank is the number of smaller suffixes; only places that still share theirs are sorted again, by the rank `step` on."""
+    counts = np.bincount(r)
+    rank, step = (np.cumsum(counts) - counts)[r], 1
+    todo = np.flatnonzero(counts[r] > 1)
+    while len(todo):
+        key = rank[todo] * (len(r) + 1) + rank[todo + step]
+        order = np.argsort(key)
+        todo, key = todo[order], key[order]
+        own = rank[todo]
+        place = np.arange(len(todo))
+        group = np.maximum.accumulate(np.where(np.append(True, own[1:] != own[:-1]), place, 0))
+        new = np.append(True, key[1:] != key[:-1])
+        part = np.maximum.accumulate(np.where(new, place, 0))
+        rank[todo] = own + part - group
+        todo = todo[~(new & np.append(new[1:], True))]
+        step *= 2
+    out = np.empty(len(r), np.int64)
+    out[rank] = np.arange(len(r))
+    return out
 
 
 def suffix_array(t: np.ndarray, few: int = 512) -> np.ndarray:
@@ -165,10 +173,9 @@ def suffix_array(t: np.ndarray, few: int = 512) -> np.ndarray:
     n = len(t)
     up = np.zeros(n, np.int8)
     up[:-1] = np.sign(t[1:].astype(np.int32) - t[:-1])
-    known = np.flatnonzero(up)
-    if not len(known):
-        return np.arange(n)
-    small = up[known[np.minimum(np.searchsorted(known, np.arange(n)), len(known) - 1)]] > 0
+    #: A run of equal symbols has the type of its last.
+    other = np.minimum.accumulate(np.where(up != 0, np.arange(n), n - 1)[::-1])[::-1]
+    small = up[other] > 0
     small[t == 0] = True
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
     heads = np.concatenate([[0], np.cumsum(np.bincount(t))])
@@ -274,7 +281,7 @@ def suspect_regions(docs: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
 
-        seen = Twice(*twice.value)
+        seen, two = Twice(*twice.value), struct.Struct("<qq")
         for b in batches:
             out: list[tuple] = []
             had: set[tuple[int, bytes]] = set()
@@ -285,7 +292,7 @@ def suspect_regions(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     for m, x, y in zip(name[ok].view(np.int64).tolist(), first[ok].tolist(), end[ok].tolist(), strict=True):
                         content = data[x : y + length - 1]
                         d = (m, xxh3_128_digest(content))
-                        out.append((m, *np.frombuffer(d[1], np.int64).tolist(), i, rk, x, y - x, None if d in had else content))
+                        out.append((m, *two.unpack(d[1]), i, rk, x, y - x, None if d in had else content))
                         had.add(d)
             cols = list(zip(*out, strict=True)) or [[]] * 8
             kinds = [pa.int64()] * 6 + [pa.int32(), pa.binary()]
