@@ -7,6 +7,11 @@ special string is cut there). The next chunk begins inside the overlap; the firs
 trusted is the splice. If there is none, the overlap is doubled, at last to the rest of the text. Tokens never cross
 pieces, so the counts of both sides add up to the whole text's.
 
+As tokens never cross pieces, a piece's count is the same wherever it stands: pieces that were met before are not encoded
+again (the memory is emptied at KNOWN pieces). They are split with the pattern below; each new character's class is asked
+from the library first, and a chunk with a character that the two see differently, or with a special string, is encoded by
+the library as it is.
+
 Other kinds of tokenizers give no such proof and encode every text whole.
 
 Defined cases: null text counts as empty (0 bytes, 0 tokens); each row is counted by itself, so ties, repeated rows and
@@ -15,14 +20,18 @@ null ids need nothing more; other columns are ignored.
 
 from __future__ import annotations
 
+import collections
 import json
+import operator
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK, OVERLAP, MARGIN, BATCH = 1 << 16, 1 << 9, 64, 1 << 20
+CHUNK, OVERLAP, MARGIN, BATCH, KNOWN = 1 << 16, 1 << 9, 64, 1 << 20, 400_000
+#: A fixed value: the public byte-level pattern.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class Counter:
@@ -31,6 +40,7 @@ class Counter:
     def __init__(self, path: str, chunk: int = CHUNK, overlap: int = OVERLAP):
         self.chunk, self.overlap, self.pieces = chunk, overlap, None
         if path.endswith(".json"):
+            import regex
             from tokenizers import Tokenizer
 
             t = Tokenizer.from_file(path)
@@ -43,13 +53,55 @@ class Counter:
             if pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not kind.get("normalizer"):
                 if all(not (a["single_word"] or a["lstrip"] or a["rstrip"]) and len(a["content"]) < MARGIN // 2 for a in kind["added_tokens"]):
                     self.special = [a["content"] for a in kind["added_tokens"]]
-                    self.pieces = t.pre_tokenizer.pre_tokenize_str
+                    self.library, self.pieces = t, t.pre_tokenizer.pre_tokenize_str
+                    self.by_library, self.encode = self.encode, self.by_piece
+                    self.split, self.known, self.same, self.other = regex.compile(PATTERN).findall, {}, set(), set()
         else:
             import sentencepiece
 
             t = sentencepiece.SentencePieceProcessor(model_file=path)
             self.encode = lambda texts: [len(x) for x in t.encode(texts, num_threads=1)]
 
+    def agrees(self, c: str) -> bool:
+        """Whether the pattern and the library put a character into the same class: with letters, digits, signs or none."""
+        return all(len(self.split(x + c + x)) == len(self.pieces(x + c + x)) for x in "a1.") and self.split(c) != []
+
+    def by_piece(self, texts: list[str]) -> list[int]:
+        out, rest, mets = [0] * len(texts), [], {}
+        for i, text in enumerate(texts):
+            chars = set(text)
+            for c in chars - self.same - self.other:
+                (self.same if self.agrees(c) else self.other).add(c)
+            if chars & self.other or any(s in text for s in self.special):
+                rest.append(i)
+            else:
+                mets[i] = collections.Counter(self.split(text))
+        new = {p for met in mets.values() for p in met if p not in self.known}
+        if len(self.known) + len(new) > KNOWN:
+            self.known, new = {}, set().union(*mets.values())
+        self.learn(new)
+        known = self.known
+        for i, met in mets.items():
+            out[i] = sum(map(operator.mul, met.values(), map(known.__getitem__, met)))
+        for i, n in zip(rest, self.by_library([texts[i] for i in rest]), strict=True):
+            out[i] = n
+        return out
+
+    def learn(self, pieces: set[str]) -> None:
+        """Counts of new pieces. Letters with a space in front stay a piece between others of that kind, letters alone stay
+        one between line ends, so these are encoded as one text; the library numbers each token's piece."""
+        rest = set(pieces)
+        for some, between in (([p for p in pieces if p[0] == " " and p[1:].isalpha()], ""), ([p for p in pieces if p.isalpha()], "\n")):
+            for k in range(0, len(some), 50_000):
+                part = some[k : k + 50_000]
+                at = collections.Counter(self.library.encode(between.join(part), add_special_tokens=False).word_ids)
+                step = 1 + len(between)
+                if len(at) == step * (len(part) - 1) + 1:
+                    self.known.update((p, at[step * i]) for i, p in enumerate(part))
+                    rest.difference_update(part)
+        each = list(rest)
+        self.known.update(zip(each, self.by_library(each), strict=True))
+
     def starts(self, text: str) -> list[int]:
         """Where pieces start in a text: special strings are cut out first, then the pattern runs over what is between."""
         out, at = [], 0
