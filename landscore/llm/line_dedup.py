@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key
+from .common import row_key, stage
 from .seen import Twice, seen_twice, unique_hashes
 
 BLANK, LEAST = " \t\n\x0b\x0c\r", 10
@@ -75,8 +75,9 @@ def repeated_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], ["doc_id", "rk", "key", "at"])
 
     rows = docs.where("doc_id is not null and text is not null").select("doc_id", F.xxhash64("doc_id", "text").alias("rk"), "text")
-    found = rows.mapInArrow(suspects, "doc_id long, rk long, key binary, at array<int>")
+    found = stage(rows.mapInArrow(suspects, "doc_id long, rk long, key binary, at array<int>"), "suspects")
     first = found.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("key", "first")
+    first = stage(first, "firsts")  # then both sides of the join are dealt out for it, and a common line's can be split
     drops = found.join(first, "key").where("doc_id > first")
     return drops.groupBy("doc_id", "rk").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("drop"))
 
