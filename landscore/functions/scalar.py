@@ -27,6 +27,12 @@ def rint(x: Column, digits: int) -> Column:
     return F.rint(x * 10.0**digits) / 10.0**digits + F.lit(0.0)
 
 
+def steady(x: Column, digits: int) -> Column:
+    """rint() of a quotient of sums, rounded to 10 decimals first: the order in which partitions are summed moves the last
+    bits, and may not tip a tie."""
+    return F.rint(F.rint(x * 1e10) / 10.0 ** (10 - digits)) / 10.0**digits + F.lit(0.0)
+
+
 def sum0(x: Column) -> Column:
     """A sum that is 0 where all is missing."""
     return F.coalesce(F.sum(x), F.lit(0.0))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import cut_by_group, finite, last_day, rint, sum0, whole_days
+from ..functions.scalar import cut_by_group, finite, last_day, rint, steady, sum0, whole_days
 
 
 def area_weighted(long: DataFrame, bridge: DataFrame, unit_cols: Sequence[str], by_grp: bool = True, digits: int = 4, identity: bool = False, skip_missing: bool = False) -> DataFrame:
@@ -21,7 +21,7 @@ def area_weighted(long: DataFrame, bridge: DataFrame, unit_cols: Sequence[str],
     keys = [*unit_cols, *(["grp"] if by_grp else [])]
     area = F.when(value.isNotNull(), F.col("area")) if skip_missing else F.col("area")
     g = joined.dropna(subset=keys).groupBy(*keys, "year", "measure") if keys else joined.groupBy("year", "measure")
-    out = g.agg(rint(F.try_divide(sum0(value * F.col("area")), F.sum(area)), digits).alias("value"), F.sum("area").alias("area"))
+    out = g.agg(steady(F.try_divide(sum0(value * F.col("area")), F.sum(area)), digits).alias("value"), F.sum("area").alias("area"))
     return out.select(*keys, "year", "measure", "value", "area")
 
 

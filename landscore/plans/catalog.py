@@ -103,6 +103,8 @@ def oracle_sql() -> dict[str, str]:
 
 _D = ", ".join(map(str, DROUGHT))
 R4 = lambda x: f"(round_even(({x}) * 10000, 0) / 10000 + 0.0)"
+S4 = lambda x: f"(round_even(round_even(({x}) * 1e10, 0) / 1e6, 0) / 10000 + 0.0)"
+S1 = lambda x: f"(round_even(round_even(({x}) * 1e10, 0) / 1e9, 0) / 10 + 0.0)"
 R1 = lambda x: f"(round_even(({x}) * 10, 0) / 10 + 0.0)"
 
 
@@ -147,7 +149,7 @@ OVER = """pairs AS (SELECT DISTINCT l_partkey AS uid, n_name AS unit FROM lineit
 over_ AS (SELECT pairs.unit, poly.* FROM pairs JOIN poly USING (uid))"""
 
 
-def weighted(keys: tuple[str, ...], bridge: str = "poly", n: str = "", digits=R4) -> str:
+def weighted(keys: tuple[str, ...], bridge: str = "poly", n: str = "", digits=S4) -> str:
     k = ", ".join(keys)
     not_null = " AND ".join(f"{x} IS NOT NULL" for x in keys) or "true"
     return f"""SELECT {k}{', ' if k else ''}year, measure, {digits('coalesce(sum(value * area), 0) / nullif(sum(area), 0)')} AS value, sum(area) AS area
@@ -349,7 +351,7 @@ def score_by_group(spark: SparkSession, d: str) -> DataFrame:
 
 def _tsli_scored(days: dict) -> str:
     return f"""WITH {_scored(days)}, long AS (SELECT uid, year, 'tsli' AS measure, CAST(tsli AS DOUBLE) AS value FROM sc
-UNION ALL SELECT uid, year, 'sc_tsli', sc_tsli FROM sc) {weighted(('unit', 'grp'), 'cust', digits=R1)}"""
+UNION ALL SELECT uid, year, 'sc_tsli', sc_tsli FROM sc) {weighted(('unit', 'grp'), 'cust', digits=S1)}"""
 
 
 @query(_tsli_scored(VEGETATION_DAYS))
