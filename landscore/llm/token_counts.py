@@ -2,7 +2,7 @@
 
 The byte-level pattern splits a text from left to right and looks ahead at most LOOKAHEAD characters, never back. So if
 two runs over the same text, begun at different places, both start a piece at position p, all their pieces from p on are
-the same. A chunk's pieces are trusted up to MARGIN characters before its end (no piece reaches past its end and no
+the same. A cut has no white space in front: only there could the end of the left part change what is in it. A chunk's pieces are trusted up to MARGIN characters before its end (no piece reaches past its end and no
 special string is cut there). The next chunk begins inside the overlap; the first common piece start in it that is
 trusted is the splice. If there is none, the overlap is doubled, at last to the rest of the text. Tokens never cross
 pieces, so the counts of both sides add up to the whole text's.
@@ -123,7 +123,7 @@ class Counter:
                 low = max(begin + 1, end - over)
                 #: The left run is over the whole chunk; only where it starts pieces in the overlap matters.
                 left = {begin + p for p in self.starts(text[begin:end]) if low <= begin + p <= end - MARGIN}
-                cut = next((low + p for p in self.starts(text[low : end + self.overlap]) if low + p in left), None)
+                cut = next((low + p for p in self.starts(text[low : end + self.overlap]) if low + p in left and not text[low + p - 1].isspace()), None)
                 if cut is None:
                     if end >= len(text):
                         return cuts
