@@ -315,31 +315,31 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
     def sharded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         group: list[tuple] = []
+        ready: list[tuple] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
             marks = repeated_starts([r[4] for r in held], length) if held else []
             spans = [[0, len(r[4]) - length + 1] if r[3] > 1 else runs(m) for r, m in zip(held, marks, strict=True)]
-            keep = [(r[0], r[1], r[2], s) for r, s in zip(held, spans, strict=True) if s]
-            return packed(keep)
-
-        def packed(keep: list[tuple]) -> pa.RecordBatch:
+            keep = ready + [(r[0], r[1], r[2], s) for r, s in zip(held, spans, strict=True) if s]
+            held.clear()
+            ready.clear()
             cols = list(zip(*keep, strict=True)) or [[]] * 4
             kinds = [pa.int64()] * 3 + [pa.list_(pa.int32())]
             return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], ["name", "d1", "d2", "at"])
 
         def settle() -> Iterator[pa.RecordBatch]:
-            nonlocal size, held
+            nonlocal size
             if len(group) == 1 and group[0][3] > 1:
                 name, d1, d2, _, content = group[0]
-                yield packed([(name, d1, d2, [0, len(content) - length + 1])])
+                ready.append((name, d1, d2, [0, len(content) - length + 1]))
             else:
-                held += group
+                held.extend(group)
                 size += sum(len(r[4]) for r in group)
-                if size >= SHARD_BYTES:
-                    yield flush()
-                    held, size = [], 0
             group.clear()
+            if size >= SHARD_BYTES or len(ready) >= 1 << 15:
+                yield flush()
+                size = 0
 
         for b in batches:
             for r in zip(*(c.to_pylist() for c in b.columns), strict=True):

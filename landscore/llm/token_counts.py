@@ -1,10 +1,10 @@
 """Token counts of whole texts, huge ones in overlapping chunks that are spliced where both sides provably agree.
 
-The byte-level pattern splits a text from left to right and looks ahead at most LOOKAHEAD characters, never back. So if
-two runs over the same text, begun at different places, both start a piece at position p, all their pieces from p on are
-the same. A cut has no white space in front: only there could the end of the left part change what is in it. A chunk's pieces are trusted up to MARGIN characters before its end (no piece reaches past its end and no
-special string is cut there). The next chunk begins inside the overlap; the first common piece start in it that is
-trusted is the splice. If there is none, the overlap is doubled, at last to the rest of the text. Tokens never cross
+The byte-level pattern splits a text from left to right and looks a few characters ahead, never back. So if two runs over
+the same text, begun at different places, both start a piece at position p, all their pieces from p on are the same. A
+chunk's piece starts are trusted up to MARGIN characters before its end (what lies ahead of them is there, and no special
+string is cut). The next chunk begins inside the overlap; the first common piece start in it that is trusted is the
+splice, if no white space is in front of it (only there could the end of the left part change what is in it). If there is none, the overlap is doubled, at last to the rest of the text. Tokens never cross
 pieces, so the counts of both sides add up to the whole text's.
 
 As tokens never cross pieces, a piece's count is the same wherever it stands: pieces that were met before are not encoded
