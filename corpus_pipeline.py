@@ -28,10 +28,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark passages of weight."""
+    """Documents without benchmark passages of weight. Rows are judged one by one, those without an id too."""
     found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    gone = found.where("contaminated").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = found.where("contaminated").select(F.col("rk").alias("_rk")).distinct()
+    return docs.join(gone, F.xxhash64("doc_id", "text") == F.col("_rk"), "left_anti")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

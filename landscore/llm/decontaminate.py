@@ -89,7 +89,8 @@ def phrase_hits(docs: DataFrame, items: DataFrame, index: DataFrame, window: int
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items (array of string), contaminated; one row for each input row."""
+    """doc_id, rk (xxhash64 of id and text), n_words, n_hit, n_items, items (array of string), contaminated; one row for each
+    input row."""
     items = stage(test_items(benchmark), "items")
     terms = stage(items.select(F.explode("words").alias("term")).distinct(), "vocabulary")
     freqs = stage(term_frequencies(docs, terms), "frequencies")
@@ -104,7 +105,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     out = rows.join(hits, ["did", "rk"], "left").withColumn("n_hit", F.coalesce("n_hit", F.lit(0).cast("long")))
     out = out.withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
     contaminated = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
-    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", contaminated.alias("contaminated"))
+    return out.select("doc_id", "rk", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", contaminated.alias("contaminated"))
 
 
 def proximity(docs: DataFrame, queries: DataFrame, width: int) -> DataFrame:

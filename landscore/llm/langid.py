@@ -12,7 +12,8 @@ n-gram by position; each distinct one is looked up once and then found in a dire
 
 The language of lowest cross-entropy a character wins. score is its share of the languages' likelihoods over CERTAIN
 characters at most. accepted is false if no letter is there (lang_pred `und`), or if the text has FEW letters or more and its
-cross-entropy is above its language's limit: SLACK above the largest of the calibration documents.
+cross-entropy is above its language's limit, SLACK above the largest of the calibration documents, by more than STRAY in
+all: what some 40 characters that fit no language (a key, a name) cost. So such a string alone rejects no text.
 
 Defined cases: null text, empty text and text without letters give `und`, score 0; ties go to the smallest label; rows are
 judged one by one, so repeated rows and null ids are no special case (a null id counts as held out); without any labelled
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ORDER, PER_LANGUAGE, LANGUAGES, CERTAIN, FEW, SLACK, PIECE = 4, 1500, 256, 32, 40, 0.5, 1 << 20
+ORDER, PER_LANGUAGE, LANGUAGES, CERTAIN, FEW, SLACK, STRAY, PIECE = 4, 1500, 256, 32, 40, 0.5, 200.0, 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = 32
 
@@ -199,7 +200,8 @@ class Model:
         each = self.entropies(s) / (len(s) - 1)
         best = int(np.argmin(each))
         share = 1.0 / float(np.exp(-(each - each[best]) * min(len(s) - 1, CERTAIN)).sum())
-        return self.langs[best], share, bool(n < FEW or each[best] <= self.limits[best]), float(each[best])
+        accepted = n < FEW or (each[best] - self.limits[best]) * (len(s) - 1) <= STRAY
+        return self.langs[best], share, bool(accepted), float(each[best])
 
 
 def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, order: int = ORDER) -> Model:

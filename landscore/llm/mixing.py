@@ -4,7 +4,7 @@ A document's size is its number of `[^\\x20\\x09-\\x0D]+` words. Sources in orde
 3, 1, 2, repeating. They share `share` times all sizes by weight; a target stops at `epochs` times its source's size, and
 the excess goes to the others by weight until none is above (solved at once: sources sorted by limit per weight, the
 first ones full, the rest at one level). Every document gets a key, md5 of seed and id. Keys are uniform, so equal ranges
-of them (BUCKETS) range-sort each source into even parts, the hot source's too. Bucket sums, summed up along a source,
+of them range-sort each source into even parts, the hot source's too (BUCKETS, or more to hold about BUCKET_ROWS each). Bucket sums, summed up along a source,
 are the offsets for the running sums inside the buckets. A source's last document is taken if that brings it nearer.
 
 Defined cases: null text has size 0; null source is a source of its own; rows that repeat a doc_id are separate and drawn
@@ -19,15 +19,15 @@ from pyspark.sql import functions as F
 
 from .common import sized, stage
 
-BUCKETS, SHARE, EPOCHS, WEIGHTS, SEED = 1024, 1.5, 2, (3, 1, 2), "mix-1:"
+BUCKETS, BUCKET_ROWS, MOST_BUCKETS, SHARE, EPOCHS, WEIGHTS, SEED = 1024, 1 << 16, 1 << 17, 1.5, 2, (3, 1, 2), "mix-1:"
 
 
 def sizes(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """doc_id, rk, source, size, key, bucket."""
+    """doc_id, rk, source, size, key, spot (the key's first 24 bits)."""
     n = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    bucket = F.floor(F.conv(F.substring(key, 1, 6), 16, 10).cast("long") * BUCKETS / 2.0**24).cast("int")  # in the order of keys
-    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("rk"), "source", n.alias("size"), key.alias("key"), bucket.alias("bucket"))
+    spot = F.conv(F.substring(key, 1, 6), 16, 10).cast("int")
+    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("rk"), "source", n.alias("size"), key.alias("key"), spot.alias("spot"))
 
 
 def targets(totals: DataFrame, share: float = SHARE, epochs: int = EPOCHS, weights: tuple = WEIGHTS) -> DataFrame:
@@ -53,6 +53,8 @@ def targets(totals: DataFrame, share: float = SHARE, epochs: int = EPOCHS, weigh
 def shares(docs: DataFrame, share: float = SHARE, epochs: int = EPOCHS, weights: tuple = WEIGHTS, seed: str = SEED) -> DataFrame:
     """doc_id, rk, source, size, source_size, target, copies (how often the mix takes the document), taken."""
     rows = stage(sizes(docs, seed), "sizes")
+    buckets = min(MOST_BUCKETS, max(BUCKETS, 1 << (rows.count() // BUCKET_ROWS).bit_length()))
+    rows = rows.withColumn("bucket", F.floor(F.col("spot") * F.lit(float(buckets)) / 2.0**24).cast("int"))  # in the order of keys
     sums = stage(rows.groupBy("source", "bucket").agg(F.sum("size").alias("sum")), "bucket_sums")
     wanted = targets(sums.groupBy("source").agg(F.sum("sum").alias("source_size")), share, epochs, weights)
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

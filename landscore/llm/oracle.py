@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .license_scan import CONTAINED, SHINGLE, TEMPLATES
-from .mixing import BUCKETS, EPOCHS, SEED, SHARE
+from .mixing import EPOCHS, MOST_BUCKETS, SEED, SHARE
 
 FOLD = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = rf"list_filter(string_split_regex({FOLD}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
@@ -82,7 +82,7 @@ y AS (SELECT *, least(floor(CASE WHEN source_size > 0 THEN target / source_size
 SELECT doc_id, size, source_size, target, CAST(size * (whole +
   CASE WHEN whole < {EPOCHS} AND size > 0 AND before + size / 2.0 <= target - whole * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM y
 """
-assert BUCKETS <= 1 << 24
+assert MOST_BUCKETS <= 1 << 24
 
 
 def oracle_sql() -> dict[str, str]:

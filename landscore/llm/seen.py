@@ -4,7 +4,8 @@ Every task first drops repeats in its own batches (marking them). The hashes are
 bits, and each segment streams through two Bloom filters: what the once-filter already holds goes into the twice-filter.
 The once-filter grows by generations as it fills. Only the twice-filters leave the executors; all together they are at
 most `most_bytes`, however large the corpus: if repeats are too many for that, more hashes are suspected, and whoever
-asks confirms suspects exactly.
+asks confirms suspects exactly. Segments grow with the planner's estimate of the hashes' bytes, so that the once-filters
+of a task stay small.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PROBES, BITS, GENERATION, MOST_BYTES, SEGMENTS = 4, 12, 1 << 17, 64 << 20, 64
+PROBES, BITS, GENERATION, MOST_BYTES, SEGMENTS, MOST_SEGMENTS, SEGMENT_BYTES = 4, 12, 1 << 17, 64 << 20, 64, 1 << 14, 1 << 28
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)]
 
 
@@ -66,9 +67,15 @@ def power_of_two(n: int) -> int:
     return 1 << max(n - 1, 1).bit_length()
 
 
-def seen_twice(hashes: DataFrame, segments: int = SEGMENTS, most_bytes: int = MOST_BYTES):
+def segments_for(hashes: DataFrame) -> int:
+    """SEGMENTS, or more if they would get over SEGMENT_BYTES each; at most MOST_SEGMENTS (also where no size is known)."""
+    size = int(str(hashes._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return min(MOST_SEGMENTS, max(SEGMENTS, size // SEGMENT_BYTES))
+
+
+def seen_twice(hashes: DataFrame, segments: int | None = None, most_bytes: int = MOST_BYTES):
     """A broadcast variable with Twice's arguments. hashes: h long, twice boolean (seen more than once where it came from)."""
-    spark = hashes.sparkSession
+    spark, segments = hashes.sparkSession, segments or segments_for(hashes)
     most_bits = max(64, power_of_two(most_bytes * 8 // segments + 1) // 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

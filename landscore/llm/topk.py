@@ -7,8 +7,8 @@ only while the box's upper bound of the inner product can still reach that score
 Queries travel as blocks, one row a shard; a shard meets all blocks, one pair at a time.
 
 Defined cases: vectors that are null, or hold a null, NaN or infinity, take no part; a missing tail counts as zeros, so
-vectors of different lengths have a score (an empty one scores 0); scaled components beyond +-2**24 are cut to that bound,
-which keeps every sum exact; repeated ids are separate candidates and, for a query, the same query (its candidates leave
+vectors of different lengths have a score (an empty one scores 0); scaled components beyond +-2**20 are cut to that bound,
+which keeps every sum of up to 8192 dimensions exact; repeated ids are separate candidates and, for a query, the same query (its candidates leave
 out all rows of its id, its vector is that of any one row with the id); null ids take no part.
 """
 
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import stage
 
-K, SCALE, SHARD, LEAF, BOUND = 20, 64, 8192, 256, 2.0**24
+K, SCALE, SHARD, LEAF, BOUND = 20, 64, 8192, 256, 2.0**20
 
 
 def scaled(vectors: list, scale: float = SCALE) -> np.ndarray:

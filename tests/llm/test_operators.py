@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from landscore.llm import decontaminate, langid, license_scan, line_dedup, mixing, sharding, simhash, suffix, token_counts, topk
+from landscore.llm import decontaminate, langid, license_scan, line_dedup, mixing, seen, sharding, simhash, suffix, token_counts, topk
 from landscore.llm.common import new_folder
 from landscore.llm.graph import components
 
@@ -118,6 +118,16 @@ def brute_roots(fps):
     return {i: root(i) for i in fps}
 
 
+def test_segments(spark):
+    small, big = spark.range(10).withColumnRenamed("id", "h"), spark.range(1 << 32).withColumnRenamed("id", "h")
+    assert seen.segments_for(small) == seen.SEGMENTS < seen.segments_for(big) <= seen.MOST_SEGMENTS
+    hashes = spark.range(3000).select((F.xxhash64(F.col("id") % 2000)).alias("h"), F.lit(False).alias("twice"))
+    for segments in (1, 64, 5000):
+        twice = seen.Twice(*seen.seen_twice(hashes, segments).value)
+        h = np.array([r.h for r in spark.range(2000).select(F.xxhash64("id").alias("h")).collect()], np.int64).view(np.uint64)
+        assert twice.holds(h[:1000]).all() and twice.holds(h[1000:]).mean() < 0.2
+
+
 def test_simhash(spark, docs, empty):
     out = simhash.near_duplicates(docs).collect()
     assert len(out) == docs.count()
@@ -247,6 +257,10 @@ def test_mixing(spark, docs, empty):
         open_ -= full
     for s in order:
         assert target[s] == pytest.approx(got[s]) and abs(taken[s] - target[s]) <= biggest[s]
+    few, mixing.BUCKET_ROWS, mixing.BUCKETS = (mixing.BUCKET_ROWS, mixing.BUCKETS), 2, 1
+    again = by_row(mixing.shares(docs))
+    mixing.BUCKET_ROWS, mixing.BUCKETS = few
+    assert again == sorted(map(tuple, out), key=repr)
     assert mixing.shares(empty).count() == 0
     assert mixing.mix(docs).columns == docs.columns and mixing.mix(docs).count() == sum(r.copies for r in out)
 
@@ -314,6 +328,9 @@ def test_language_id(spark, empty):
     got = {x.doc_id: x for x in out}
     assert all(got[i].lang_pred == "und" and got[i].score == 0 and not got[i].accepted for i in (600, 601, 602))
     assert not got[605].accepted and all(x.accepted for x in held)
+    #: A key in a short text doesn't reject it; a text of nothing else goes.
+    key = "zqxjkvwpyfhd" * 3
+    assert model.judge(text("aa")[:60] + " " + key)[2] and not model.judge(key * 9)[2]
     assert langid.identify(empty, model).count() == 0
     nothing = langid.fit(empty, F.lit(True))
     assert {x.lang_pred for x in langid.identify(df, nothing).collect()} == {"und"}

@@ -44,6 +44,9 @@ def test_stages(spark):
         if not hit or 20 * len(hit) < len(w):
             want.append(r)
     assert Counter(clean.collect()) == Counter(want) and len(want) < single.count()
+    bad = next(r for r in single.collect() if r not in want)
+    no_id = spark.createDataFrame([(None, bad.text, None, None, None)], docs.schema)
+    assert steps["decontamination"](spark, no_id, DIR).count() == 0
 
     mix = steps["mixing"](spark, clean, DIR).cache()
     copies = {r.doc_id: r.copies for r in mixing.shares(clean).collect()}
