@@ -71,8 +71,10 @@ def surveys(spark: SparkSession, d: str) -> DataFrame:
     return e.select(F.hour("ts").alias("year"), F.col("event_type").alias("survey"), (u % 7).alias("site"), (u % 3).alias("unit"), F.concat(F.lit("g"), (u % 5).cast("string")).alias("grp"), F.concat(F.lit("n"), (u % 11).cast("string")).alias("name"), F.floor("value").cast("long").alias("n"))
 
 
-def points(spark: SparkSession, d: str) -> DataFrame:
-    return t(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "label", (F.element_at("embedding", 1).cast("double") * 100).alias("x"), (F.element_at("embedding", 2).cast("double") * 100).alias("y"))
+def points(spark: SparkSession, d: str, x: int = 1, y: int = 2) -> DataFrame:
+    """Points of two components of each vector."""
+    at = lambda i: F.element_at("embedding", i).cast("double") * 100
+    return t(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "label", at(x).alias("x"), at(y).alias("y"))
 
 
 def boxes(spark: SparkSession, d: str) -> DataFrame:
@@ -456,14 +458,13 @@ def habitat_groups(spark: SparkSession, d: str) -> DataFrame:
 _PT = "pt AS (SELECT vec_id AS id, label, CAST(embedding[1] AS DOUBLE) * 100 AS x, CAST(embedding[2] AS DOUBLE) * 100 AS y FROM embeddings)"
 
 
-@query(f"""WITH {_PT}, l AS (SELECT * FROM pt WHERE id % 2 = 0), r AS (SELECT * FROM pt WHERE id % 2 = 1),
+@query(f"""WITH {_PT}, l AS (SELECT id, x, y FROM pt), r AS (SELECT vec_id AS id, label, CAST(embedding[3] AS DOUBLE) * 100 AS x, CAST(embedding[4] AS DOUBLE) * 100 AS y FROM embeddings),
 c AS (SELECT l.id AS lid, r.id AS rid, 'p' || r.label AS name, sqrt((l.x - r.x) * (l.x - r.x) + (l.y - r.y) * (l.y - r.y)) AS dist FROM l JOIN r ON abs(l.x - r.x) <= 1.5 AND abs(l.y - r.y) <= 1.5),
 b AS (SELECT * FROM c WHERE dist <= 1.5 QUALIFY row_number() OVER (PARTITION BY lid ORDER BY dist, rid) = 1)
 SELECT l.id AS lid, coalesce(rid, -1) AS rid, name, {R4('coalesce(dist, -1)')} AS dist FROM l LEFT JOIN b ON b.lid = l.id""")
 def nearest_within(spark: SparkSession, d: str) -> DataFrame:
-    p = points(spark, d)
-    left = p.where("id % 2 = 0").select(F.col("id").alias("lid"), "x", "y")
-    right = p.where("id % 2 = 1").select(F.col("id").alias("rid"), F.concat(F.lit("p"), F.col("label").cast("string")).alias("name"), "x", "y")
+    left = points(spark, d).select(F.col("id").alias("lid"), "x", "y")
+    right = points(spark, d, 3, 4).select(F.col("id").alias("rid"), F.concat(F.lit("p"), F.col("label").cast("string")).alias("name"), "x", "y")
     return spatial.nearest_within(left, right, 1.5).withColumn("dist", rint(F.col("dist"), 4))
 
 
