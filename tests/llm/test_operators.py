@@ -141,6 +141,66 @@ def test_simhash(spark, docs, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def brute_signature(text):
+    """The same bits one by one."""
+    w = re.findall(rb"[^\x20\x09-\x0D]+", fold(text or "").encode())
+    shingles = {b" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    narrow = [xxhash.xxh64_intdigest(x, 42) for x in set(w)]
+    fp = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in narrow) > len(narrow))
+    wide = []
+    for lane in range(1, 9):
+        x = []
+        for h in {xxhash.xxh64_intdigest(y, 42) for y in shingles}:
+            h = (h + lane * 0x9E3779B97F4A7C15) % 2**64
+            h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+            h = (h ^ h >> 27) * 0x94D049BB133111EB % 2**64
+            x.append(h ^ h >> 31)
+        wide.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in x) > len(x)))
+    return fp, sum(v << 64 * i for i, v in enumerate(wide))
+
+
+def brute_similar(by_id):
+    roots = {i: i for i in by_id}
+
+    def root(i):
+        while roots[i] != i:
+            i = roots[i]
+        return i
+
+    sig = {i: brute_signature(t) for i, t in by_id.items()}
+    for a in sig:
+        for b in sig:
+            if a < b and (sig[a][0] ^ sig[b][0]).bit_count() <= 6 and (sig[a][1] ^ sig[b][1]).bit_count() <= simhash.wide_limit():
+                x, y = sorted((root(a), root(b)))
+                roots[y] = x
+    return {i: root(i) for i in roots}
+
+
+@pytest.mark.parametrize("tile", [3, 2048])
+def test_similar_documents(spark, docs, empty, tile):
+    """Copies with edits are found, texts of the same words in another order are not; any tile gives the same groups."""
+    r = random.Random(7)
+    words = [f"w{i}" for i in range(400)]
+    base = [[r.choice(words) for _ in range(300)] for _ in range(3)]
+    edited = [[*b[:150], "new", *b[151:]] for b in base for _ in range(2)] + [[*base[0], *(f"more{i}" for i in range(k))] for k in (1, 5, 15)]
+    shuffled = [r.sample(b, len(b)) for b in base]
+    rows = [(1000 + i, " ".join(t)) for i, t in enumerate([*base, *edited, *shuffled])]
+    more = spark.createDataFrame([*rows, (1000, " ".join(base[0]).upper()), (None, rows[0][1])], "doc_id long, text string")
+    every = docs.select("doc_id", "text").union(more)
+    out = simhash.similar_documents(every, tile=tile).collect()
+    assert len(out) == every.count()
+    want = brute_similar({r.doc_id: r.text for r in every.collect() if r.doc_id is not None})
+    assert all(x.component_id == (None if x.doc_id is None else want[x.doc_id]) for x in out)
+    got = {x.doc_id: x.component_id for x in out}
+    assert [got[1000 + i] for i in range(15)] == [1000, 1001, 1002, 1000, 1000, 1001, 1001, 1002, 1002, 1000, 1000, 1000, 1012, 1013, 1014]
+    assert simhash.similar_documents(empty).count() == 0
+
+
+def test_block_count():
+    """At least two blocks a key; more blocks for more fingerprints, and any number gives the same links."""
+    assert [simhash.block_count(n) for n in (0, 10**6, 10**10)] == [6, 6, 7]
+
+
 @pytest.mark.parametrize("tile", [3, 2048])
 def test_links(spark, tile):
     """Chains and clusters of fingerprints, buckets in tiles too."""
@@ -153,9 +213,10 @@ def test_links(spark, tile):
     fps = dict(enumerate(dict.fromkeys(fps)))
     nodes = spark.createDataFrame([(i, f - 2**64 if f >> 63 else f) for i, f in fps.items()], "node long, fp long")
     found = simhash.links(nodes, tile=tile)
+    more = {x.node: x.root for x in components(simhash.links(nodes, blocks=7, tile=tile)).collect()}
     assert all(bin(fps[x.a] ^ fps[x.b]).count("1") <= 4 for x in found.collect())
     roots = {x.node: x.root for x in components(found).collect()}
-    assert {i: roots.get(i, i) for i in fps} == brute_roots(fps)
+    assert {i: roots.get(i, i) for i in fps} == {i: more.get(i, i) for i in fps} == brute_roots(fps)
 
 
 def test_components(spark):
