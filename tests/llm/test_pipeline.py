@@ -6,7 +6,7 @@ import corpus_pipeline as cp
 from landscore.llm import langid, mixing
 from pyspark.sql import functions as F
 
-from .test_operators import WORD, brute_fingerprint, brute_roots, fold
+from .test_operators import WORD, brute_similar, fold
 
 DIR = "/root/testdata/sf0.001"
 
@@ -24,7 +24,7 @@ def test_stages(spark):
     assert kept.where("doc_id in (900, 901)").count() == 0 and kept.count() >= 199
 
     single = steps["simhash_near_dedup"](spark, kept, DIR).cache()
-    roots = brute_roots({r.doc_id: brute_fingerprint(r.text) for r in kept.collect() if r.doc_id is not None})
+    roots = brute_similar({r.doc_id: r.text for r in kept.collect() if r.doc_id is not None})
     assert sorted(r.doc_id for r in single.collect() if r.doc_id is not None) == sorted({*roots.values()})
     assert single.columns == columns and single.where("doc_id is null").count() == 1
 
