@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landscore.llm import decontaminate, langid, mixing, sharding, simhash
+from landscore.llm import decontaminate, langid, mixing, near_copies, sharding
 from landscore.llm.common import new_folder, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -23,7 +23,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies (five-word shingles, similarity 0.8; one row of it),
     and those without an id."""
-    groups = simhash.similar_documents(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
+    groups = near_copies.near_copies(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
     kept = docs.where("doc_id is not null").join(groups, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
     return kept.union(docs.where("doc_id is null"))
 

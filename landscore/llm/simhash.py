@@ -191,9 +191,24 @@ def spanning(forest: Forest, a: np.ndarray, b: np.ndarray, wide: np.ndarray | No
     return out
 
 
-def bucket_links(fp: np.ndarray, group: np.ndarray, side: np.ndarray, radius: int = RADIUS, wide: np.ndarray | None = None, limit: int = 0, room: int = 1 << 15) -> np.ndarray:
+def across(tree: np.ndarray, a: np.ndarray, b: np.ndarray, wide: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """Those of the pairs that are of two trees and within the limit."""
+    out = []
+    for k in range(0, len(a), SLICE):
+        x, y = a[k : k + SLICE], b[k : k + SLICE]
+        apart = tree[x] != tree[y]
+        x, y = x[apart], y[apart]
+        near = np.bitwise_count(wide[x] ^ wide[y]).sum(axis=1, dtype=np.int64) <= limit
+        out += zip(x[near].tolist(), y[near].tolist(), strict=True)
+    return out
+
+
+def bucket_links(
+    fp: np.ndarray, group: np.ndarray, side: np.ndarray, radius: int = RADIUS, wide: np.ndarray | None = None, limit: int = 0, tight: int | None = None, tree: np.ndarray | None = None, room: int = 1 << 15
+) -> np.ndarray:
     """Links (i, j) that span what is linked in each group. group: ascending; side: 2 if a row is on both sides, else 0 or 1;
-    rows of side 0 are compared with those of side 1. wide: rows that linked pairs have within the limit, too."""
+    rows of side 0 are compared with those of side 1. wide: rows that linked pairs have within the limit, too; what is
+    within `tight` (if it's given) is taken before the rest. tree: all pairs of different trees, not only a spanning part."""
     cut = np.flatnonzero(np.diff(group)) + 1
     starts, ends = np.concatenate([[0], cut]), np.concatenate([cut, [len(fp)]])
     order, words, first, filled = [], 0, [], []
@@ -209,7 +224,7 @@ def bucket_links(fp: np.ndarray, group: np.ndarray, side: np.ndarray, radius: in
     left = np.flatnonzero(side != 1)
     each = np.array(filled)[which[left]]
     offsets = np.concatenate([[0], np.cumsum(each)])
-    forest, out, i = Forest(len(fp)), [], 0
+    forest, out, rest, i = Forest(len(fp)), [], [], 0
     while i < len(left):
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + room, "right")) - 1)
         q = np.repeat(left[i:j], each[i:j])
@@ -220,8 +235,19 @@ def bucket_links(fp: np.ndarray, group: np.ndarray, side: np.ndarray, radius: in
             row, bit = np.nonzero(bits)
             a, b = q[at[row]], lane[w[at[row]] * 64 + bit]
             ok = (b >= 0) & (a != b)
-            out += spanning(forest, a[ok], b[ok], wide, limit)
+            a, b = a[ok], b[ok]
+            if tree is not None:
+                once = (a < b) | (side[a] != 2)
+                out += across(tree, a[once], b[once], wide, limit)
+            elif tight is None:
+                out += spanning(forest, a, b, wide, limit)
+            else:
+                out += spanning(forest, a, b, wide, tight)
+                rest += across(forest.labels(), a, b, wide, limit)
         i = j
+    if rest:
+        a, b = np.array(rest, np.int64).T
+        out += spanning(forest, a, b, wide, limit)
     return np.array(out, np.int64).reshape(-1, 2)
 
 
@@ -250,6 +276,13 @@ def links(distinct: DataFrame, radius: int = RADIUS, blocks: int | None = None,
     counts = keys.groupBy("t", "key").agg(F.count("*").alias("n"))
     hot = sized(stage(counts.where(F.col("n") > tile).select("t", "key", F.ceil(F.col("n") / tile).cast("int").alias("tiles")), "hot_buckets"))
     keys = keys.join(hot, ["t", "key"], "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    return searched(keys, radius, limit)
+
+
+def searched(keys: DataFrame, radius: int = RADIUS, limit: int = 0, tight: int | None = None) -> DataFrame:
+    """a, b: links of bucket_links() between the nodes of each bucket (t, key). keys: node, fp, t, key, tiles (into how many
+    tiles the bucket is cut), perhaps wide and tree."""
+    sig = [c for c in ("fp", "wide", "tree") if c in keys.columns]
     own = F.pmod(F.xxhash64(*sig, "t"), F.col("tiles")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda o: F.struct(F.least(own, o).alias("x"), F.greatest(own, o).alias("y"), F.when(own == o, 2).when(own < o, 0).otherwise(1).alias("side")))
     dealt = keys.select("node", *sig, "t", "key", F.explode(pairs).alias("p")).select("node", *sig, "t", "key", F.col("p.x").alias("x"), F.col("p.y").alias("y"), F.col("p.side").alias("side"))
@@ -266,7 +299,8 @@ def links(distinct: DataFrame, radius: int = RADIUS, blocks: int | None = None,
         node, found = col("node")[many], np.empty((0, 2), np.int64)
         if many.any():
             wide = np.frombuffer(b"".join(part.column("wide").filter(pa.array(many)).to_pylist()), np.uint64).reshape(len(node), -1) if "wide" in sig else None
-            found = bucket_links(col("fp")[many].view(np.uint64), group[many], col("side")[many], radius, wide, limit)
+            tree = col("tree")[many] if "tree" in sig else None
+            found = bucket_links(col("fp")[many].view(np.uint64), group[many], col("side")[many], radius, wide, limit, tight, tree)
         return pa.RecordBatch.from_arrays([pa.array(node[found[:, 0]]), pa.array(node[found[:, 1]])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

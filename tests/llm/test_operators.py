@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from landscore.llm import decontaminate, langid, license_scan, line_dedup, mixing, seen, sharding, simhash, suffix, token_counts, topk
+from landscore.llm import decontaminate, langid, license_scan, line_dedup, mixing, near_copies, seen, sharding, simhash, suffix, token_counts, topk
 from landscore.llm.common import new_folder
 from landscore.llm.graph import components
 
@@ -408,3 +408,59 @@ def test_language_id(spark, empty):
 
 def test_digests():
     assert line_dedup.digest("a") == suffix.digest(b"a") == hashlib.sha256(b"a").hexdigest()
+
+
+def brute_jaccard(texts, similarity=(8, 10)):
+    """Roots (the smallest index) by exact Jaccard similarity of five-word shingles, and the pairs."""
+    sets = []
+    for t in texts:
+        w = re.findall(rb"[^\x20\x09-\x0D]+", fold(t or "").encode())
+        sets.append({b" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    roots, pairs = list(range(len(texts))), []
+    for b in range(len(sets)):
+        for a in range(b):
+            both = len(sets[a] & sets[b])
+            if similarity[1] * both >= similarity[0] * (len(sets[a]) + len(sets[b]) - both):
+                pairs.append((a, b))
+                x, y = sorted((roots[a], roots[b]))
+                roots = [x if r == y else r for r in roots]
+    return roots, pairs
+
+
+@pytest.mark.parametrize("tile", [3, 2048])
+def test_near_copies(spark, docs, empty, tile):
+    """Cut, appended and scattered copies on both sides of the limit, and short texts, against exact Jaccard."""
+    r = random.Random(11)
+    words = [f"w{i}" for i in range(3000)]
+    many = []
+    for n in (9, 24, 60, 200, 700):
+        for _ in range(6):
+            b = [r.choice(words) for _ in range(n)]
+            share = r.choice([0.05, 0.1, 0.15, 0.18, 0.3])
+            k, at = max(1, int(n * share)), r.randrange(n // 2)
+            scattered = set(r.sample(range(n), max(1, k // 5)))
+            many += [b, b[k:], b[: at] + b[at + k :], b + [r.choice(words) for _ in range(k)], [r.choice(words) if i in scattered else w for i, w in enumerate(b)]]
+    every = [x.text for x in docs.collect()] + [" ".join(t) for t in many]
+    table = spark.createDataFrame(list(enumerate(every)), "doc_id long, text string")
+    roots, pairs = brute_jaccard(every)
+    got = {x.doc_id: x for x in near_copies.near_copies(table, tile=tile).collect()}
+    assert len(pairs) > 60 and {i: x.component_id for i, x in got.items()} == dict(enumerate(roots))
+    assert all(x.first == (i == roots[i]) for i, x in got.items())
+    assert near_copies.near_copies(empty).count() == 0
+    #: The old rule: words' fingerprints within 6 bits and 512 bits within the limit lose some of these.
+    sig = [brute_signature(t) for t in every]
+    assert any((sig[a][0] ^ sig[b][0]).bit_count() > 6 or (sig[a][1] ^ sig[b][1]).bit_count() > simhash.wide_limit() for a, b in pairs)
+
+
+def test_near_copies_recall():
+    """Pairs of similarity 0.8 share a band about as often as is stated, and are within the limits of the bucket."""
+    r = np.random.default_rng(3)
+    lost = 0
+    for n in (5, 50, 500):
+        for _ in range(700):
+            h = r.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+            a, b = np.unique(h), np.unique(h[: n * 4 // 5])
+            lost += not (near_copies.band_keys(a) == near_copies.band_keys(b)).any()
+            bits = np.bitwise_count(simhash.majority(simhash.widened(a)) ^ simhash.majority(simhash.widened(b)))
+            assert bits.sum() <= near_copies.LOOSE and bits[0] <= near_copies.LANE_RADIUS
+    assert lost <= 2
