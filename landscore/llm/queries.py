@@ -54,8 +54,9 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.append(table(spark, sf_dir, "documents"))
     store.compact()
     store.vacuum()
-    #: A merged run or a part of an arrival; the file's own name has a random part.
-    shard = F.regexp_extract("shard", r"(_run=\d+|part-\d+)", 1)
+    #: A merged run, or a part of an arrival and its file's number; the file's own name has a random part.
+    part = F.concat(F.regexp_extract("shard", r"(part-\d+)", 1), F.regexp_extract("shard", r"(-c\d+)\.", 1))
+    shard = F.when(F.col("shard").contains("_run="), F.regexp_extract("shard", r"(_run=\d+)", 1)).otherwise(part)
     return store.read().select("doc_id", F.sha2(F.col("text"), 256).alias("text_sha256"), "lang", "source", "n_chars", shard.alias("shard"))
 
 

@@ -5,13 +5,15 @@ version (file, rows, bytes, tier). A commit writes the next manifest under a nam
 a version that is there fails, so of two writers one commits and the other starts again from the new version. Readers open
 the files of one version only.
 
-append() adds an arrival as small shards. compact() plans on the manifest: shards of a tier (within a factor FANOUT of
-each other in size) are merged in runs that come to the target size; a run short of it is merged once it has FANOUT
-shards. Runs are planned until nothing changes, so every row is moved once, in one job: each run becomes one file.
-vacuum() removes files of versions before the last.
+append() adds an arrival as small shards, of about a FANOUT-th of the target before compression, however large the
+arrival's partitions are. compact() plans on the manifest: shards of a tier (within a factor FANOUT of each other in size)
+are merged in runs that come to the target size; a run short of it is merged once it has FANOUT shards. Runs are planned
+until nothing changes, so every row is moved once, in one job: each run becomes one file. Shards of over BEYOND times the
+target (rows much longer than the arrival's mean) are split in the same job, rows dealt in turn. vacuum() removes files of
+versions before the last.
 
 Defined cases: nulls, empty and long texts, repeated rows and any columns are kept as they are (columns named like the
-store's own, `_run` and `_path`, are refused); arrivals without rows commit a version without new shards; reading a store
+store's own, `_run`, `_path` and `_row`, are refused); a shard of one row is never split; arrivals without rows commit a version without new shards; reading a store
 without shards gives the empty table of its schema.
 """
 
@@ -27,7 +29,7 @@ from pyspark.sql.types import StructType
 
 from .common import hadoop_path
 
-TARGET, FANOUT, SMALL = 32 << 20, 4, 256 << 10
+TARGET, FANOUT, SMALL, BEYOND = 32 << 20, 4, 256 << 10, 1.25
 
 
 class Conflict(RuntimeError):
@@ -65,6 +67,19 @@ def merged(run: list) -> tuple[int, list]:
     return sum(x[0] for x in run), [s for x in run for s in x[1]]
 
 
+def oversized(shards: list[dict], target: int = TARGET) -> list[tuple[dict, int]]:
+    """Shards to split, and into how many."""
+    return [(s, min(s["rows"], math.ceil(s["bytes"] / target))) for s in shards if s["bytes"] > BEYOND * target and s["rows"] > 1]
+
+
+def row_bytes(df: DataFrame) -> float:
+    """The mean size of a row before compression."""
+    fixed = {"boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz"}
+    own = {"string": lambda c: F.octet_length(c), "binary": lambda c: F.octet_length(c)}
+    each = [F.lit(8) if t in fixed else F.coalesce(own.get(t, lambda c: F.octet_length(c.cast("string")))(df[f"`{c}`"]), F.lit(0)) for c, t in df.dtypes]
+    return df.agg(F.avg(sum(each, F.lit(0).cast("long")))).first()[0] or 0.0
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str, target: int = TARGET, fanout: int = FANOUT):
         self.spark, self.root, self.target, self.fanout = spark, root.rstrip("/"), target, fanout
@@ -125,10 +140,12 @@ class Store:
         return [s | {"rows": rows[s["file"]], "tier": tier(s["bytes"], self.fanout)} for s in out if rows.get(s["file"])]
 
     def append(self, df: DataFrame, small_rows: int = 0) -> dict:
-        """A new version with an arrival's rows as shards, one or more for each of its partitions."""
-        if {"_run", "_path"} & set(df.columns):
-            raise ValueError("columns _run and _path are the store's own")
+        """A new version with an arrival's rows as shards, one or more for each of its partitions. small_rows: how many rows
+        a shard has at most; 0: as many as the mean size of the arrival's rows allows (one more pass over it)."""
+        if {"_run", "_path", "_row"} & set(df.columns):
+            raise ValueError("columns _run, _path and _row are the store's own")
         folder = uuid.uuid4().hex
+        small_rows = small_rows or max(1, int(self.target / self.fanout / max(1.0, row_bytes(df))))
         df.write.option("compression", "zstd").option("maxRecordsPerFile", small_rows).parquet(f"{self.root}/data/{folder}")
         new = self._written(folder)
         while True:
@@ -139,22 +156,28 @@ class Store:
                 continue
 
     def compact(self) -> dict:
-        """A new version in which similar small shards are merged; the same version if there is nothing to merge."""
+        """A new version in which similar small shards are merged and oversized ones split; the same version if there is
+        nothing to do."""
         base = self.manifest()
         runs = plan(base["shards"], self.target, self.fanout)
-        if not runs:
+        split = oversized(base["shards"], self.target)
+        n = len(runs) + sum(k for _, k in split)
+        if not n:
             return base
         folder = uuid.uuid4().hex
         #: Numbers of runs that hash to partitions of their own, so no task gets two runs.
-        spot = F.pmod(F.hash(F.col("id").cast("int")), F.lit(len(runs)))
-        numbers = [r["id"] for r in self.spark.range(40 * len(runs) + 1000).groupBy(spot).agg(F.min("id").alias("id")).toLocalIterator()]
-        numbers = sorted(numbers) if len(numbers) == len(runs) else list(range(len(runs)))
-        where = [(f"{s['file']}", i) for i, run in zip(numbers, runs, strict=True) for s in run]
-        table = self.spark.createDataFrame(where, "_path string, _run int")
+        spot = F.pmod(F.hash(F.col("id").cast("int")), F.lit(n))
+        numbers = [r["id"] for r in self.spark.range(40 * n + 1000).groupBy(spot).agg(F.min("id").alias("id")).toLocalIterator()]
+        numbers = sorted(numbers) if len(numbers) == n else list(range(n))
+        where = [(s["file"], [i]) for i, run in zip(numbers, runs, strict=False) for s in run]
+        rest = iter(numbers[len(runs) :])
+        where += [(s["file"], [next(rest) for _ in range(k)]) for s, k in split]
+        table = self.spark.createDataFrame(where, "_path string, _run array<int>")
         rows = self.spark.read.schema(StructType.fromJson(json.loads(base["schema"]))).parquet(*[f"{self.root}/data/{f}" for f, _ in where])
-        rows = rows.withColumn("_path", F.element_at(F.split("_metadata.file_path", "/data/"), -1))
-        rows = rows.join(F.broadcast(table) if len(where) <= 50_000 else table, "_path").drop("_path")
-        rows = rows.repartition(len(runs), "_run")
+        rows = rows.withColumns({"_path": F.element_at(F.split("_metadata.file_path", "/data/"), -1), "_row": F.col("_metadata.row_index")})
+        rows = rows.join(F.broadcast(table) if len(where) <= 50_000 else table, "_path")
+        rows = rows.withColumn("_run", F.get("_run", F.pmod("_row", F.size("_run")).cast("int"))).drop("_path", "_row")
+        rows = rows.repartition(n, "_run")
         rows.write.option("compression", "zstd").partitionBy("_run").parquet(f"{self.root}/data/{folder}")
         gone = {f for f, _ in where}
         return self.commit(base, base["schema"], [s for s in base["shards"] if s["file"] not in gone] + self._written(folder))

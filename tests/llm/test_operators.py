@@ -464,3 +464,21 @@ def test_near_copies_recall():
             bits = np.bitwise_count(simhash.majority(simhash.widened(a)) ^ simhash.majority(simhash.widened(b)))
             assert bits.sum() <= near_copies.LOOSE and bits[0] <= near_copies.LANE_RADIUS
     assert lost <= 2
+
+
+def test_sharding_large_partition(spark):
+    """One arrival of one large partition: small shards that tiers merge, or one shard that is split; then near the target."""
+    r = random.Random(8)
+    rows = [(i, "".join(chr(r.randrange(33, 0x250)) for _ in range(r.randint(1, 1500)))) for i in range(7000)]
+    one = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    target = 1 << 20
+    for small_rows in (0, 10**9):
+        store = sharding.Store(spark, new_folder(spark, "test"), target=target)
+        arrived = store.append(one, small_rows)["shards"]
+        assert sum(s["bytes"] for s in arrived) > 5 * target
+        assert len(arrived) == 1 if small_rows else max(s["bytes"] for s in arrived) < target / 2
+        sizes = sorted(s["bytes"] for s in store.compact()["shards"])
+        near = [x for x in sizes if 0.6 * target <= x <= sharding.BEYOND * target]
+        assert sizes[-1] <= sharding.BEYOND * target and len(near) >= len(sizes) - 3 and sum(near) > 0.8 * sum(sizes)
+        store.vacuum()
+        assert sorted(map(tuple, store.read().drop("shard").collect())) == rows
