@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from landscore.llm import decontaminate, langid, mixing, near_copies, sharding
@@ -21,10 +21,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies (five-word shingles, similarity 0.8; one row of it),
-    and those without an id."""
-    groups = near_copies.near_copies(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.where("doc_id is not null").join(groups, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
+    """The document with the smallest id of each group of near copies (five-word shingles, similarity 0.8), and those without
+    an id. Texts that share an id are documents of their own; of rows with the same id and text the first by their other
+    columns is kept."""
+    groups = near_copies.near_copies(docs).where("first").select(F.col("doc_id").alias("_id"), F.col("rk").alias("_rk")).distinct()
+    same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("doc_id", "text") == F.col("_rk"))
+    place = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("doc_id", "text")).orderBy(*[c for c in docs.columns if c not in ("doc_id", "text")]))
+    kept = docs.where("doc_id is not null").join(groups, same, "left_semi").withColumn("_place", place).where("_place = 1").drop("_place")
     return kept.union(docs.where("doc_id is null"))
 
 

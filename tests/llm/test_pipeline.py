@@ -53,3 +53,13 @@ def test_stages(spark):
     assert mix.columns == columns and Counter(r.doc_id for r in mix.collect()) == Counter({k: v for k, v in copies.items() if v})
     shards = steps["sharding"](spark, mix, DIR)
     assert Counter(shards.select(*columns).collect()) == Counter(mix.collect()) and shards.where("shard is null").count() == 0
+
+
+def test_near_dedup_of_shared_ids(spark):
+    """Unrelated texts of one id stay, whichever row comes first; of rows with one id and text the first by the others."""
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(1, a, "xx", "s", 1), (1, b, "en", "s", 1), (2, b, "en", "s", 1), (1, a, "en", "s", 1), (3, a + " more", "en", "s", 1)]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, lang string, source string, n_chars long")
+        out = dict(cp.STAGES)["simhash_near_dedup"](spark, docs, DIR)
+        assert sorted(map(tuple, out.collect())) == [rows[3], rows[1]]
