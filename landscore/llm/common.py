@@ -5,18 +5,32 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A table is broadcast only if its counted rows are at most this many.
-BROADCAST_ROWS = 50_000
+#: A table is broadcast only if its counted rows are at most this many, and its files at most so many bytes.
+BROADCAST_ROWS, BROADCAST_BYTES = 50_000, 16 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _staged: list[tuple[SparkSession, str]] = []
 
 
+def fresh(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, with underscores in front until none is that of a column (names that differ in case only are the same)."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; a temporary one only where the session names none."""
+    """The folder that the driver and all executors share. Only a session whose executors are the driver's own process, and
+    that names none, gets a temporary one: on a cluster each machine would write to its own disk."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
@@ -24,6 +38,8 @@ def shared_root(spark: SparkSession) -> str:
     held = sc._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return held.get().rstrip("/")
+    if not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     own = "file://" + tempfile.mkdtemp(prefix="staged-")
     sc.setCheckpointDir(own)
     return own
@@ -59,12 +75,25 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     a read, and its size is known to the planner."""
     path = new_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    fs, p = hadoop_path(df.sparkSession, path)
+    if not any(s.getPath().getName().startswith("part-") for s in fs.listStatus(p)):
+        raise FileNotFoundError(f"{path} holds no part file: the executors don't write where the driver reads")
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._folder = path
+    return out
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete a staged table that nothing will read again."""
+    fs, p = hadoop_path(df.sparkSession, df._folder)
+    fs.delete(p, True)
 
 
-def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The staged table, marked for broadcast if it has at most so many rows; else Spark joins it by a shuffle."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def sized(df: DataFrame, rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The staged table, marked for broadcast if the planner's size of it (of its files) and its counted rows are at most so
+    many; else Spark joins it by a shuffle."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size <= most_bytes and df.limit(rows + 1).count() <= rows else df
 
 
 def folded(text: Column) -> Column:

@@ -1,15 +1,21 @@
 """Exact top-k by integer inner product: a KD-tree for each shard, searched best first with bounds of tight boxes.
 
-Components become floor(scale * x). Shards hold about SHARD vectors, chosen by a hash of the id. A shard's task builds the
-tree by median splits of the widest side down to leaves of LEAF vectors, keeps each leaf's tight box, and searches the
-shard's own queries. So every query starts on the other shards with its k-th score there: a leaf is opened for a query
-only while the box's upper bound of the inner product can still reach that score, leaves in falling order of bound.
-Queries travel as blocks, one row a shard; a shard meets all blocks, one pair at a time.
+Components become floor(scale * x). Shards hold about SHARD vectors, chosen by a hash of the row. A tree has median splits of
+the widest side down to leaves of LEAF vectors, each with its tight box. A task holds the trees of one group of shards and
+streams blocks of queries past them: a leaf is opened for a query only while its box's upper bound of the inner product can
+still reach the query's k-th score so far, leaves in falling order of bound, and that score goes on from shard to shard.
+Every query first meets its own group, and starts on the other groups with its k-th score there. A group's trees are sent
+once for each PART blocks of queries, not for each block.
+
+Products are exact for any finite components: in floats where no sum can reach 2**53, in 64-bit integers below 2**63, else in
+Python's integers. A row's tree is one of its order of magnitude, so a single huge vector doesn't slow down its shard.
+
+Where boxes prune little (many even dimensions) the work is the number of queries times the number of vectors.
 
 Defined cases: vectors that are null, or hold a null, NaN or infinity, take no part; a missing tail counts as zeros, so
-vectors of different lengths have a score (an empty one scores 0); scaled components beyond +-2**20 are cut to that bound,
-which keeps every sum of up to 8192 dimensions exact; repeated ids are separate candidates and, for a query, the same query (its candidates leave
-out all rows of its id, its vector is that of any one row with the id); null ids take no part.
+vectors of different lengths have a score (an empty one scores 0); rows that share an id are candidates and queries of their
+own, each query leaves out its own row only; null ids take no part; scores beyond a long's range are ranked exactly and
+returned as the nearest long; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,68 +30,147 @@ from pyspark.sql import functions as F
 
 from .common import stage
 
-K, SCALE, SHARD, LEAF, BOUND = 20, 64, 8192, 256, 2.0**20
+#: SCALE is a power of two, so scaling loses no digit. MAGNITUDES: where a row's largest component puts it into another tree.
+K, SCALE, SHARD, LEAF, GROUP, PART, MAGNITUDES = 20, 64, 8192, 256, 8, 256, (2.0**20, 2.0**28)
+LONG = (-(2**63), 2**63 - 1)
+_NONE = {"f": -np.inf, "i": LONG[0], "O": -(1 << 4200)}
 
 
-def scaled(vectors: list, scale: float = SCALE) -> np.ndarray:
-    """One row of floats with whole values for each vector."""
-    width = max((len(v) for v in vectors), default=0)
-    out = np.zeros((len(vectors), width))
+def floored(vectors: list, scale: float = SCALE) -> np.ndarray:
+    """floor(scale * x) / scale, one row for each vector, zeros behind its end."""
+    out = np.zeros((len(vectors), max((len(v) for v in vectors), default=0)))
     for i, v in enumerate(vectors):
         out[i, : len(v)] = v
-    return np.clip(np.floor(out * scale), -BOUND, BOUND)
+    big = np.abs(out) >= 2.0**53
+    return np.where(big, out, np.floor(np.where(big, 0.0, out) * scale) / scale)
+
+
+def largest(x: np.ndarray, scale: float) -> int:
+    """The largest component, scaled, without sign."""
+    return int(np.abs(x).max(initial=0.0)) * int(scale) + int(scale)
+
+
+def products(q: np.ndarray, x: np.ndarray, scale: float) -> np.ndarray:
+    """Exact inner products of rows of scaled components."""
+    most = largest(q, scale) * largest(x, scale) * max(1, q.shape[1])
+    if most < 2**53:
+        return (q * scale) @ (x * scale).T
+    if most < 2**63:
+        return (q * scale).astype(np.int64) @ (x * scale).astype(np.int64).T
+    whole = lambda m: np.array([int(v) * int(scale) if abs(v) >= 2**53 else int(v * scale) for v in m.ravel().tolist()], object).reshape(m.shape)
+    return np.dot(whole(q), whole(x).T).astype(object)
+
+
+def widened(m: np.ndarray, width: int) -> np.ndarray:
+    return np.pad(m, ((0, 0), (0, width - m.shape[1]))) if m.shape[1] < width else m
+
+
+def as_floats(scores: np.ndarray) -> np.ndarray:
+    """Scores as floats that are not larger."""
+    if scores.dtype.kind == "f":
+        return scores
+    if scores.dtype.kind == "i":
+        return np.where(scores == LONG[0], -np.inf, np.nextafter(scores.astype(np.float64), -np.inf))
+    out = np.full(scores.shape, -np.inf)
+    for i, s in np.ndenumerate(scores):
+        out[i] = -np.inf if s < -(2**1000) else np.nextafter(float(min(s, 2**1000)), -np.inf)
+    return out
+
+
+class Best:
+    """The k best of some queries so far: ids and scores by falling score, ties by smaller id (id -1: none)."""
+
+    def __init__(self, rows: np.ndarray, q: np.ndarray, k: int, least: np.ndarray):
+        self.rows, self.q, self.k, self.least = rows, q, k, least.copy()
+        self.ids, self.scores = np.full((len(q), k), -1, np.int64), np.full((len(q), k), -np.inf)
+
+    def fit(self, kind: str) -> None:
+        """Scores of a kind that holds those to come."""
+        if "fiO".index(kind) > "fiO".index(self.scores.dtype.kind):
+            none = self.ids < 0
+            whole = np.where(none, 0, self.scores)
+            self.scores = whole.astype(np.int64) if kind == "i" else np.array([int(v) for v in whole.ravel().tolist()], object).reshape(whole.shape)
+            self.scores[none] = _NONE[kind]
+
+    def take(self, at: np.ndarray, ids: np.ndarray, rows: np.ndarray, new: np.ndarray) -> None:
+        """Candidates' scores for the queries at some places."""
+        self.fit(new.dtype.kind)
+        kind = self.scores.dtype.kind
+        new = new.astype(self.scores.dtype)
+        own = rows[None, :] == self.rows[at][:, None]
+        all_i = np.concatenate([self.ids[at], np.where(own, -1, np.broadcast_to(ids, new.shape))], 1)
+        all_s = np.concatenate([self.scores[at], np.where(own, _NONE[kind], new)], 1)
+        if kind == "O":
+            order = np.array([sorted(range(len(s)), key=lambda j: (-s[j], i[j]))[: self.k] for s, i in zip(all_s, all_i, strict=True)]).reshape(len(at), -1)
+        else:
+            order = np.lexsort((all_i, -all_s if kind == "f" else ~all_s), axis=1)[:, : self.k]
+        self.scores[at], self.ids[at] = np.take_along_axis(all_s, order, 1), np.take_along_axis(all_i, order, 1)
+        self.ids[at] = np.where(self.scores[at] == _NONE[kind], -1, self.ids[at])
+        self.least[at] = np.maximum(self.least[at], as_floats(self.scores[at][:, self.k - 1]))
 
 
 class Tree:
     """Leaves of a KD-tree: rows in order of leaf, where leaves begin, and their boxes."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, leaf: int = LEAF):
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, x: np.ndarray, leaf: int = LEAF):
         order, ends, todo = [], [], [np.arange(len(ids))]
         while todo:
-            rows = todo.pop()
-            if len(rows) > leaf:
-                part = x[rows]
+            own = todo.pop()
+            if len(own) > leaf:
+                part = x[own]
                 side = int(np.argmax(part.max(0) - part.min(0))) if x.shape[1] else 0
-                ranked = np.argsort(part[:, side], kind="stable") if x.shape[1] else np.arange(len(rows))
-                half = len(rows) // 2
-                todo += [rows[ranked[half:]], rows[ranked[:half]]]
-            elif len(rows):
-                order.append(rows)
-                ends.append(len(rows))
+                ranked = np.argsort(part[:, side], kind="stable") if x.shape[1] else np.arange(len(own))
+                half = len(own) // 2
+                todo += [own[ranked[half:]], own[ranked[:half]]]
+            elif len(own):
+                order.append(own)
+                ends.append(len(own))
         take = np.concatenate(order) if order else np.empty(0, int)
-        self.ids, self.x = ids[take], x[take]
+        self.ids, self.rows, self.x = ids[take], rows[take], x[take]
         self.ends = np.cumsum(ends, dtype=int) if ends else np.empty(0, int)
         self.starts = np.concatenate([[0], self.ends[:-1]]).astype(int) if ends else np.empty(0, int)
         self.low = np.array([self.x[a:b].min(0) for a, b in zip(self.starts, self.ends, strict=True)]).reshape(len(ends), x.shape[1])
         self.high = np.array([self.x[a:b].max(0) for a, b in zip(self.starts, self.ends, strict=True)]).reshape(len(ends), x.shape[1])
 
-    def search(self, qid: np.ndarray, q: np.ndarray, k: int, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """ids and scores [queries, k] by falling score, ties by smaller id (id -1: none), and each query's k-th score or
-        what it began with. Only what reaches `least` need be among them."""
-        top, score, least = np.full((len(q), k), -1, np.int64), np.full((len(q), k), -np.inf), least.copy()
-        width = max(q.shape[1], self.x.shape[1])
-        pad = lambda m: np.pad(m, ((0, 0), (0, width - m.shape[1])))
-        q, x = pad(q), pad(self.x)
-        bound = np.maximum(q, 0) @ pad(self.high).T + np.minimum(q, 0) @ pad(self.low).T
-        best = np.argsort(-bound, axis=1, kind="stable")
+    def search(self, best: Best, scale: float = SCALE) -> None:
+        """Leaves in falling order of their bounds, as long as those can reach a query's k-th score."""
+        width = max(best.q.shape[1], self.x.shape[1])
+        q, x, low, high = (widened(m, width) for m in (best.q, self.x, self.low, self.high))
+        with np.errstate(over="ignore", invalid="ignore"):
+            bound = np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T
+            #: What rounding can have taken off; a sum beyond floats bounds nothing.
+            bound += 1e-12 * (np.abs(q) @ np.maximum(np.abs(low), np.abs(high)).T)
+            bound = np.where(np.isnan(bound), np.inf, bound) * (scale * scale)
+        first = np.argsort(-bound, axis=1, kind="stable")
         alive = np.arange(len(q)) if len(self.ends) else np.empty(0, int)
         for turn in range(len(self.ends)):
-            leaf = best[alive, turn]
-            alive = alive[bound[alive, leaf] >= least[alive]]  # a tie may still win by its id
+            leaf = first[alive, turn]
+            alive = alive[bound[alive, leaf] >= best.least[alive]]  # a tie may still win by its id
             if not len(alive):
                 break
-            leaf = best[alive, turn]
+            leaf = first[alive, turn]
             for at in np.unique(leaf):
-                rows, a, b = alive[leaf == at], self.starts[at], self.ends[at]
-                new = q[rows] @ x[a:b].T
-                ids = np.broadcast_to(self.ids[a:b], new.shape)
-                new = np.where(ids == qid[rows][:, None], -np.inf, new)
-                all_s, all_i = np.concatenate([score[rows], new], 1), np.concatenate([top[rows], ids], 1)
-                order = np.lexsort((all_i, -all_s), axis=1)[:, :k]
-                score[rows], top[rows] = np.take_along_axis(all_s, order, 1), np.take_along_axis(all_i, order, 1)
-                least[rows] = np.maximum(least[rows], score[rows, k - 1])
-        top[score == -np.inf] = -1
-        return top, score, least
+                own, a, b = alive[leaf == at], self.starts[at], self.ends[at]
+                best.take(own, self.ids[a:b], self.rows[a:b], products(q[own], x[a:b], scale))
+
+
+def trees(ids: np.ndarray, rows: np.ndarray, x: np.ndarray, leaf: int = LEAF, scale: float = SCALE) -> list[Tree]:
+    """A tree for each order of magnitude."""
+    kind = np.searchsorted(np.array(MAGNITUDES) / scale, np.abs(x).max(1, initial=0.0), "right")
+    return [Tree(ids[kind == m], rows[kind == m], x[kind == m], leaf) for m in np.unique(kind)]
+
+
+def by_magnitude(rows: np.ndarray, ids: np.ndarray, q: np.ndarray, least: np.ndarray, k: int, scale: float) -> list[tuple[np.ndarray, Best]]:
+    """Queries with their ids, those of an order of magnitude together."""
+    kind = np.searchsorted(np.array(MAGNITUDES) / scale, np.abs(q).max(1, initial=0.0), "right")
+    return [(ids[kind == m], Best(rows[kind == m], q[kind == m], k, least[kind == m])) for m in np.unique(kind)]
+
+
+def sort_key(score: int) -> bytes:
+    """Bytes in the order of the numbers."""
+    size = abs(score).to_bytes((abs(score).bit_length() + 7) // 8, "big")
+    size = len(size).to_bytes(2, "big") + size
+    return b"\1" + size if score >= 0 else b"\0" + bytes(255 - c for c in size)
 
 
 def packed(m: np.ndarray) -> bytes:
@@ -97,53 +182,89 @@ def matrix(b: bytes, rows: int) -> np.ndarray:
     return m.reshape(rows, -1) if rows else m.reshape(0, 0)
 
 
+FOUND = "query_row long, query_id long, vec_id long, over int, score long, key binary"
+BLOCK = "shard int, n long, ids binary, rows binary, x binary, least binary"
+
+
+def listed(ids: np.ndarray, best: Best) -> dict[str, pa.Array]:
+    """The results of queries, columns of FOUND. over: whether a score is beyond a long (1: above, -1: below); key: its order."""
+    ok = best.ids >= 0
+    n = ok.sum(1)
+    over, score, key = np.zeros(int(n.sum()), np.int32), best.scores[ok], [None] * int(n.sum())
+    if score.dtype == object:
+        for i, s in enumerate(score):
+            if not LONG[0] <= s <= LONG[1]:
+                over[i], key[i], score[i] = (1 if s > 0 else -1), sort_key(s), LONG[int(s > 0)]
+    columns = [np.repeat(best.rows, n), np.repeat(ids, n), best.ids[ok], over, score.astype(np.int64)]
+    return dict(zip(("query_row", "query_id", "vec_id", "over", "score", "key"), [*map(pa.array, columns), pa.array(key, pa.binary())], strict=True))
+
+
 def top_k(vectors: DataFrame, is_query, k: int = K, scale: float = SCALE, shard: int = SHARD, leaf: int = LEAF) -> DataFrame:
     """query_id, rank, vec_id, score. vectors: vec_id, embedding (array of numbers). is_query: a condition on vec_id."""
     numbers = F.col("embedding").cast("array<double>")
     whole = ~F.exists(numbers, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(whole)
-    rows = stage(rows.select(F.col("vec_id").cast("long").alias("vec_id"), numbers.alias("embedding"), F.coalesce(is_query, F.lit(False)).alias("is_query")), "vectors")
+    asked = F.coalesce(is_query, F.lit(False)).alias("is_query")
+    rows = stage(rows.select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), numbers.alias("embedding"), asked), "vectors")
     shards = max(1, -(-rows.count() // shard))
-    schema = "shard int, n long, ids binary, x binary, m long, qid binary, q binary, least binary, top binary, score binary"
+    workers = max(1, rows.sparkSession.sparkContext.defaultParallelism)
+    groups = -(-shards // max(1, min(GROUP, shards // workers)))
+    parts = -(-shards // PART)
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("vec_id", kind="stable")
-        x, ids, ask = scaled(pdf["embedding"].tolist(), scale), pdf["vec_id"].to_numpy(), pdf["is_query"].to_numpy()
-        qid, first = np.unique(ids[ask], return_index=True)
-        q = x[ask][first]
-        top, score, least = Tree(ids, x, leaf).search(qid, q, k, np.full(len(q), -np.inf))
-        one = {"shard": int(pdf["shard"].iloc[0]), "n": len(ids), "ids": packed(ids), "x": packed(x), "m": len(qid), "qid": packed(qid), "q": packed(q), "least": packed(least), "top": packed(top), "score": packed(score)}
-        return pd.DataFrame([one])
-
-    built = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")).groupBy("shard").applyInPandas(build, schema)
-    built = stage(built, "trees")
-
-    def listed(qid: np.ndarray, top: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
-        ok = top >= 0
-        return pa.RecordBatch.from_arrays([pa.array(np.repeat(qid, ok.sum(1))), pa.array(top[ok]), pa.array(score[ok].astype(np.int64))], ["query_id", "vec_id", "score"])
-
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in b.to_pylist():
-                qid = np.frombuffer(r["qid"], np.int64)
-                yield listed(qid, np.frombuffer(r["top"], np.int64).reshape(len(qid), k), np.frombuffer(r["score"]).reshape(len(qid), k))
-
-    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[int, Tree | None] = (-1, None)
-        for b in batches:
-            for i in range(b.num_rows):
-                r = b.slice(i, 1).to_pylist()[0]
-                if held[0] != r["shard"]:
-                    held = (r["shard"], Tree(np.frombuffer(r["ids"], np.int64), matrix(r["x"], r["n"]), leaf))
-                qid = np.frombuffer(r["qid"], np.int64)
-                top, score, _ = held[1].search(qid, matrix(r["q"], r["m"]), k, np.frombuffer(r["least"]))
-                yield listed(qid, top, score)
-
-    out = "query_id long, vec_id long, score long"
-    home = built.select("qid", "top", "score").mapInArrow(own, out)
-    blocks = built.where("m > 0").select(F.col("shard").alias("home"), "m", "qid", "q", "least")
-    blocks = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard <> home")
-    met = built.select("shard", "n", "ids", "x").join(blocks.hint("shuffle_merge"), "shard")
-    away = met.select("shard", "n", "ids", "x", "m", "qid", "q", "least").mapInArrow(others, out)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return home.union(away).withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        """A shard's vectors as one row, its queries as another."""
+        pdf = pdf.sort_values("row", kind="stable")
+        x, ids, own, ask = floored(pdf["embedding"].tolist(), scale), pdf["vec_id"].to_numpy(), pdf["row"].to_numpy(), pdf["is_query"].to_numpy()
+        one = lambda at, q: {"is_query": q, "shard": int(pdf["shard"].iloc[0]), "n": int(at.sum()), "ids": packed(ids[at]), "rows": packed(own[at]), "x": packed(x[at]), "least": packed(np.full(int(at.sum()), -np.inf))}
+        return pd.DataFrame([one(np.ones(len(ids), bool), False), *([one(ask, True)] if ask.any() else [])])
+
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
+    built = stage(dealt.groupBy("shard").applyInPandas(build, f"is_query boolean, {BLOCK}"), "shards")
+    group = F.col("shard") % groups
+
+    def search(stream: DataFrame, schema: str, block: bool) -> DataFrame:
+        """stream: grp, part, is_query and BLOCK; each query of a (grp, part) against all of the group's vectors. block: also
+        the queries with their k-th scores, results in arrays."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[Tree] = []
+            now = None
+            for b in batches:
+                for i in range(b.num_rows):
+                    r = {c: b.column(c)[i].as_py() for c in b.schema.names}
+                    if now != (r["grp"], r["part"]):
+                        now, held = (r["grp"], r["part"]), []
+                    ids, own, x = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["rows"], np.int64), matrix(r["x"], r["n"])
+                    if not r["is_query"]:
+                        held += trees(ids, own, x, leaf, scale)
+                        continue
+                    for some, best in by_magnitude(own, ids, x, np.frombuffer(r["least"]), k, scale):
+                        for tree in held:
+                            tree.search(best, scale)
+                        found = listed(some, best)
+                        if not block:
+                            yield pa.RecordBatch.from_pydict(found)
+                            continue
+                        #: The threshold a tie must reach, in terms of scores.
+                        one = {"shard": [r["shard"]], "n": [len(some)], "ids": [packed(some)], "rows": [packed(best.rows)], "x": [packed(best.q)], "least": [packed(best.least)]}
+                        kinds = {"shard": pa.int32(), "n": pa.int64()}
+                        one = {c: pa.array(v, kinds.get(c, pa.binary())) for c, v in one.items()}
+                        entries = pa.StructArray.from_arrays(list(found.values()), list(found))
+                        yield pa.RecordBatch.from_pydict(one | {"found": pa.ListArray.from_arrays(pa.array([0, len(entries)], pa.int32()), entries)})
+
+        spread = stream.repartition(2 * groups * parts, "grp", "part").sortWithinPartitions("grp", "part", "is_query", "shard")
+        return spread.select("grp", "part", "is_query", *[c.split()[0] for c in BLOCK.split(", ")]).mapInArrow(run, schema)
+
+    part = F.pmod(F.xxhash64("shard"), F.lit(parts)).cast("int")
+    every_part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    there = built.where("not is_query").withColumn("grp", group).withColumn("part", every_part)
+    asking = built.where("is_query").withColumn("grp", group).withColumn("part", part)
+    home = stage(search(there.unionByName(asking), f"{BLOCK}, found array<struct<{FOUND.replace(' ', ':').replace(',:', ',')}>>", True), "home")
+    away = home.drop("found").withColumn("is_query", F.lit(True)).withColumn("part", part)
+    away = away.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).where(F.col("grp") != group)
+    found = home.select(F.explode("found").alias("f")).select("f.*")
+    if groups > 1:
+        found = found.union(search(there.unionByName(away), FOUND, False))
+    order = Window.partitionBy("query_row").orderBy(F.desc("over"), F.desc("score"), F.desc_nulls_last("key"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")

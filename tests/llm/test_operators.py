@@ -2,9 +2,11 @@
 extra columns with the operators' own names."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -238,21 +240,41 @@ def test_license_scan(spark, docs, empty):
     assert license_scan.scan(docs, templates.limit(0)).where("size(templates) > 0").count() == 0
 
 
+def brute_top_k(rows, k):
+    """By Python's integers: floor(64 x) of each component, every row but the query's own."""
+    ok = [(n, i, [math.floor(64 * Fraction(x)) for x in v]) for n, (i, v) in enumerate(rows) if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    want = []
+    for n, i, q in ok:
+        if i % 20 == 0:
+            best = sorted((-sum(a * b for a, b in zip(q, x)), j) for m, j, x in ok if m != n)[:k]
+            want += [(i, place + 1, j, max(-(2**63), min(2**63 - 1, -s))) for place, (s, j) in enumerate(best)]
+    return sorted(want, key=repr)
+
+
 def test_top_k(spark):
     r = np.random.default_rng(1)
-    rows = [(i, [float(x) for x in v], 5) for i, v in enumerate(r.normal(size=(300, 6)))]
-    rows += [(300, rows[0][1], 5), (301, None, 5), (302, [1.0, float("nan")] * 3, 5), (303, [None, 1.0], 5), (304, [float("inf")] * 6, 5), (305, [1.0, -2.0], 5), (306, [], 5), (None, [1.0] * 6, 5), (307, [1e30] * 6, 5)]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, shard int")
-    got = by_row(topk.top_k(df, F.col("vec_id") % 20 == 0, k=7, shard=64, leaf=8))
-    ok = {i: np.pad(np.clip(np.floor(64 * np.array(v, np.float32).astype(float)), -topk.BOUND, topk.BOUND), (0, 6 - len(v))) for i, v, _ in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
-    want = []
-    for q in (i for i in ok if i % 20 == 0):
-        best = sorted((-int(ok[q] @ ok[i]), i) for i in ok if i != q)[:7]
-        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
-    assert got == sorted(want, key=repr)
+    rows = [(i, [float(x) for x in np.float32(v)]) for i, v in enumerate(r.normal(size=(300, 6)))]
+    rows += [(300, rows[0][1]), (301, None), (302, [1.0, float("nan")] * 3), (303, [None, 1.0]), (304, [float("inf")] * 6), (305, [1.0, -2.0]), (306, []), (None, [1.0] * 6)]
+    for more in ([], [(307, [2.0**100] * 6)], [(0, [5.0, -1.0, 2.0]), (0, rows[0][1]), (40, [0.0] * 6), (41, [0.5] * 9)]):
+        df = spark.createDataFrame([(*x, 5) for x in rows + more], "vec_id long, embedding array<float>, shard int").repartition(3)
+        assert by_row(topk.top_k(df, F.col("vec_id") % 20 == 0, k=7, shard=64, leaf=8)) == brute_top_k(rows + more, 7)
     assert topk.top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("shard", [40, 8192])
+def test_top_k_of_large_components(spark, shard):
+    """Scores that floats, and some that longs, can't hold: components around 2**14, 1e12, 1e30 and 1e308 in one table."""
+    r = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in r.normal(size=5) * s]) for i, s in enumerate([1.0, 20_000.0, 1e6, 1e9, 1e12] * 30)]
+    rows += [(160, [1e30, 1.0, -1e30]), (161, [1e30]), (162, [-1e30, 3.0]), (180, [1e308, 1e308]), (181, [1e308, -1e308]), (182, [1.5e308, 0.0, 1e-300])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = by_row(topk.top_k(df, F.col("vec_id") % 20 == 0, k=9, shard=shard, leaf=8))
+    assert got == brute_top_k(rows, 9)
+    plain = [(20_000, [20_000.0, 1.0]), (1, [30_000.0, 5.0]), (2, [1024.0, 100.0])]
+    got = by_row(topk.top_k(spark.createDataFrame(plain, "vec_id long, embedding array<double>"), F.col("vec_id") == 20_000, shard=shard))
+    assert got == [(20_000, 1, 1, 2_457_600_020_480), (20_000, 2, 2, 83_886_489_600)]
+
+
 def test_line_dedup(spark, empty):
     texts = ["Common line here\nown one of this\nshort", "  COMMON line here \nshort\nx\nCommon line here", None, "", "\n\nown two, 3 of it\n", "Common line here", "ÀÀÀÀÀÀÀÀÀ\nown", "ÀÀÀÀÀÀÀÀÀ", "àààààààààà", "àààààààààà\n" + "z" * 90_000]
     rows = [(i, t, "k") for i, t in enumerate(texts)] + [(1, texts[1], "k"), (None, texts[0], "k")]
