@@ -348,6 +348,23 @@ def test_mixing(spark, docs, empty):
     assert mixing.mix(docs).columns == docs.columns and mixing.mix(docs).count() == sum(r.copies for r in out)
 
 
+def test_mixing_of_equal_rows(spark):
+    """Equal rows are drawn one by one; any names of columns; rows of one id and text that differ elsewhere."""
+    rows = [(1, "one two three four", "en", "a", 7, i % 2) for i in range(100)] + [(2, "five six seven", "en", "a", 8, 0), (3, "eight", "en", "b", 9, 0), (None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, copies int, _key int").withColumns({c: F.lit(1) for c in ("_n", "_rk", "_doc_id", "rk", "size", "target", "bucket", "own", "local", "b", "s")})
+    out, mix = mixing.shares(df).collect(), mixing.mix(df)
+    taken, target = Counter(), {}
+    for r in out:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    for s in target:
+        assert abs(taken[s] - target[s]) <= 4
+    words = {k: len((t or "").split()) for k, t, *_ in rows}
+    got = Counter(r.source for r in mix.collect() for _ in range(words[r.doc_id]))
+    assert mix.columns == df.columns and got == +taken and mix.count() == sum(r.copies for r in out)
+    assert Counter(mix.collect()) == Counter(mixing.mix(df.repartition(5)).collect())
+
+
 def brute_spans(texts, length=200):
     data = [(t or "").encode() for t in texts]
     n = Counter(b[i : i + length] for b in data for i in range(len(b) - length + 1))
