@@ -4,11 +4,14 @@ Words are maximal runs of `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]` after A-Z are l
 of an item (all of them, if it has fewer).
 
 1. Collection frequencies of all test terms, counted over all documents.
-2. For each window its two rarest positions are its anchors. The index keeps postings (term, document, positions) of
-   anchor terms; a posting of the empty term at the end of each document holds its length.
-3. Offset-adjusted intersection: posting position minus item position is the diagonal on which the item would lie;
-   a diagonal stays if it has both anchors of some window.
-4. Exact check of the remaining diagonals against the document's words.
+2. Windows of the same words are one, placed where the benchmark has it first. Its two rarest positions are its anchors; the
+   index keeps postings (term, document, position) of anchor terms, and one of the empty term at the end of each document,
+   which holds its length.
+3. Offset-adjusted intersection: posting position minus item position is the diagonal on which the item would lie; a window
+   may start on a diagonal that both its anchors' lists have.
+4. What remains is intersected with the postings of all words of those documents: a window is there if each of its words
+   stands at its place. Every step is a join or an aggregate of small rows; no list is gathered for a document or an item,
+   so neither periodic texts nor items found everywhere make a large row.
 
 Defined cases: null or empty text has no words (n_words 0, not contaminated); items without words match nothing; rows
 that repeat a doc_id are judged by their own texts and all returned; a null doc_id is returned as null; repeated items
@@ -17,13 +20,14 @@ count once; null item_id marks words as hit but is not listed. Other columns of
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import folded, row_key, sized, stage
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WINDOW = 13
+#: FOUND_ROWS: so many documents (two numbers each) that may hold a window are broadcast at most.
+WINDOW, FOUND_ROWS = 13, 500_000
 
 
 def words(text: Column) -> Column:
@@ -56,51 +60,67 @@ def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return stage(tokens.join(wanted, "term"), "postings")
 
 
-def anchored(items: DataFrame, freqs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """item_key, item_id, words, pairs: for each window its two rarest positions (a1, a2; a2 null in a window of one)."""
-    at = items.select("item_key", F.posexplode("words").alias("ipos", "term")).join(freqs, "term", "left")
-    ranked = at.groupBy("item_key").agg(F.array_sort(F.collect_list(F.struct("ipos", F.coalesce("freq", F.lit(0)).alias("freq")))).alias("seen"))
+def windows(items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """(win, item_key, s, terms): each different window once, at one of its places; (win, item_id): all items that have it."""
     starts = F.sequence(F.lit(0), F.greatest(F.size("words") - window, F.lit(0)))
-    rare = lambda s: F.array_sort(F.transform(F.slice("seen", s + 1, F.lit(window)), lambda x: F.struct(x["freq"].alias("freq"), x["ipos"].alias("ipos"))))
-    pair = lambda r: F.struct(F.get(r, F.lit(0))["ipos"].alias("a1"), F.get(r, F.lit(1))["ipos"].alias("a2"))
-    with_pairs = items.join(ranked, "item_key").withColumn("pairs", F.array_distinct(F.transform(starts, lambda s: pair(rare(s)))))
-    return with_pairs.select("item_key", "item_id", "words", "pairs")
-
-
-def phrase_hits(docs: DataFrame, items: DataFrame, index: DataFrame, window: int = WINDOW) -> DataFrame:
-    """did, rk, item_id, positions: the document words inside occurrences of the item's windows. items: of anchored()."""
-    ends = items.select("item_key", F.explode(F.flatten(F.transform("pairs", lambda p: F.array(p["a1"], p["a2"])))).alias("ipos"), "words")
-    anchors = ends.where("ipos is not null").select("item_key", "ipos", F.get("words", F.col("ipos")).alias("term")).distinct()
-    lists = index.where("term <> ''").select("term", "did", "rk", "pos").distinct()
-    on = lists.join(sized(stage(anchors, "anchors")), "term").select("did", "rk", "item_key", (F.col("pos") - F.col("ipos")).alias("diag"), "ipos")
-    met = on.groupBy("did", "rk", "item_key", "diag").agg(F.collect_set("ipos").alias("met"))
-    held = lambda p: F.array_contains("met", p["a1"]) & F.coalesce(F.array_contains("met", p["a2"]), F.lit(True))
-    found = met.join(sized(items), "item_key").where(F.exists("pairs", held))
-    lines = stage(found.select("did", "rk", "item_id", "diag", F.col("words").alias("item")), "diagonals")
-    per_doc = lines.groupBy("did", "rk").agg(F.collect_list(F.struct("item_id", "diag", "item")).alias("lines"))
-    there = keyed(docs).join(sized(stage(lines.select("did", "rk").distinct(), "found")), ["did", "rk"], "left_semi").dropDuplicates(["did", "rk"])
-    each = there.join(per_doc, ["did", "rk"]).select("did", "rk", "words", F.explode("lines").alias("line"))
-    same = F.transform(F.col("line.item"), lambda w, i: F.coalesce(F.get("words", F.col("line.diag") + i) == w, F.lit(False)))
-    each = each.select("did", "rk", F.col("line.item_id").alias("item_id"), F.col("line.diag").alias("diag"), same.alias("same"))
-    length = F.least(F.size("same"), F.lit(window))
-    whole = F.filter(F.sequence(F.lit(0), F.size("same") - length), lambda s: F.forall(F.slice("same", s + 1, length), lambda x: x))
-    hit = F.array_distinct(F.flatten(F.transform(whole, lambda s: F.sequence(F.col("diag") + s, F.col("diag") + s + length - 1))))
-    return each.withColumn("positions", hit).where(F.size("positions") > 0).select("did", "rk", "item_id", "positions")
+    each = items.select("item_key", "item_id", "words", F.explode(starts).alias("s"))
+    each = stage(each.select("item_key", "item_id", "s", F.slice("words", F.col("s") + 1, F.lit(window)).alias("terms")), "windows")
+    once = each.groupBy("terms").agg(F.min(F.struct("item_key", "s")).alias("at"))
+    once = stage(once.select(F.monotonically_increasing_id().alias("win"), "at.item_key", "at.s", "terms"), "distinct_windows")
+    return once, stage(each.join(once.select("win", "terms"), "terms").select("win", "item_id").distinct(), "window_items")
+
+
+def anchored(wins: DataFrame, freqs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(term, pair, role, ipos): the anchors, role 1 and 2; (pair, need, win, s): the windows of each pair of anchors. Windows of
+    one item with the same two rarest positions share a pair; a window of one word needs role 1 only."""
+    at = wins.select("win", "item_key", "s", F.posexplode("terms").alias("i", "term")).join(freqs, "term", "left")
+    entry = F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), (F.col("s") + F.col("i")).alias("ipos"), "term")
+    ranked = at.groupBy("win", "item_key", "s").agg(F.array_sort(F.collect_list(entry)).alias("seen"))
+    ranked = ranked.select("win", "item_key", "s", F.get("seen", F.lit(0)).alias("x"), F.get("seen", F.lit(1)).alias("y"))
+    pair = F.struct("item_key", F.col("x.ipos").alias("x"), F.col("y.ipos").alias("y"))
+    ranked = stage(ranked.withColumn("at", pair), "ranked")
+    pairs = stage(ranked.groupBy("at").agg(F.first(F.struct("x", "y")).alias("ends")).withColumn("pair", F.monotonically_increasing_id()), "pairs")
+    role = lambda c, i: F.struct(F.col(f"ends.{c}.term").alias("term"), F.lit(i).alias("role"), F.col(f"ends.{c}.ipos").alias("ipos"))
+    ends = pairs.select("pair", F.explode(F.array(role("x", 1), role("y", 2))).alias("e")).select("e.term", "pair", "e.role", "e.ipos").where("ipos is not null")
+    need = F.when(F.col("y").isNull(), 1).otherwise(3).alias("need")
+    return stage(ends, "anchors"), stage(ranked.join(pairs.select("at", "pair"), "at").select("pair", need, "win", "s"), "pair_windows")
+
+
+def phrase_hits(docs: DataFrame, wins: DataFrame, anchors: DataFrame, of_pairs: DataFrame, index: DataFrame) -> DataFrame:
+    """did, rk, start, n, win: where windows stand in documents, word by word."""
+    lists = index.where("term <> ''").select("term", "did", "rk", "pos")
+    on = lists.join(sized(anchors), "term").select("did", "rk", "pair", (F.col("pos") - F.col("ipos")).alias("diag"), "role")
+    met = on.groupBy("did", "rk", "pair", "diag").agg(F.bit_or("role").alias("met"))
+    found = met.join(sized(of_pairs), "pair").where("met = need").select("did", "rk", (F.col("diag") + F.col("s")).alias("start"), "win").where("start >= 0")
+    found = stage(found, "candidates")
+    asked = found.join(sized(wins.select("win", "terms")), "win").select("did", "rk", "start", "win", F.size("terms").alias("n"), F.posexplode("terms").alias("i", "term"))
+    asked = asked.withColumn("pos", F.col("start") + F.col("i"))
+    did, rk = row_key(F.col("doc_id"), F.col("text"))
+    some = sized(stage(found.select("did", "rk").distinct(), "found"), FOUND_ROWS)
+    there = docs.select(did.alias("did"), rk.alias("rk"), "text").join(some, ["did", "rk"], "left_semi")
+    there = there.select("did", "rk", F.posexplode(words(F.col("text"))).alias("pos", "term"))
+    same = asked.join(there, ["did", "rk", "pos", "term"])
+    seen = same.groupBy("did", "rk", "start", "n", "win").agg(F.bit_or(F.expr("shiftleft(1L, i)")).alias("seen"))
+    return seen.where("seen = shiftleft(1L, n) - 1").drop("seen")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, rk (xxhash64 of id and text), n_words, n_hit, n_items, items (array of string), contaminated; one row for each
     input row."""
+    if not 0 < window < 63:
+        raise ValueError("a window has 1 to 62 words")
     items = stage(test_items(benchmark), "items")
     terms = stage(items.select(F.explode("words").alias("term")).distinct(), "vocabulary")
     freqs = stage(term_frequencies(docs, terms), "frequencies")
-    items = stage(anchored(items, freqs, window), "anchored")
-    of_pairs = F.flatten(F.transform("pairs", lambda p: F.array(p["a1"], p["a2"])))
-    rare = items.select(F.explode(F.transform(F.filter(of_pairs, lambda i: i.isNotNull()), lambda i: F.get("words", i))).alias("term")).distinct()
-    index = build_index(docs, rare)
-    hits = phrase_hits(docs, items, index, window).groupBy("did", "rk").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("positions")))).cast("long").alias("n_hit"), F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items")
-    )
+    wins, of_items = windows(items, window)
+    anchors, of_pairs = anchored(wins, freqs)
+    index = build_index(docs, anchors.select("term").distinct())
+    hits = stage(phrase_hits(docs, wins, anchors, of_pairs, index), "hits")
+    places = hits.select("did", "rk", "start", "n").distinct().select("did", "rk", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("pos"))
+    n_hit = places.distinct().groupBy("did", "rk").agg(F.count("*").alias("n_hit"))
+    listed = hits.select("did", "rk", "win").distinct().join(sized(of_items), "win").select("did", "rk", F.col("item_id").cast("string").alias("item")).where("item is not null")
+    listed = listed.distinct().groupBy("did", "rk").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    hits = n_hit.join(listed, ["did", "rk"], "left")
     rows = index.where("term = ''").select("doc_id", "did", "rk", F.col("pos").cast("long").alias("n_words"))
     out = rows.join(hits, ["did", "rk"], "left").withColumn("n_hit", F.coalesce("n_hit", F.lit(0).cast("long")))
     out = out.withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
@@ -114,8 +134,6 @@ def proximity(docs: DataFrame, queries: DataFrame, width: int) -> DataFrame:
     items = stage(test_items(queries).withColumn("words", F.array_distinct("words")), "near_items")
     terms = stage(items.select("item_key", "item_id", F.size("words").alias("n"), F.explode("words").alias("term")), "near_terms")
     index = build_index(docs, terms.select("term").distinct()).where("term <> ''").distinct()
-    on = index.join(sized(terms), "term").groupBy("did", "rk", "doc_id", "item_key", "item_id", "n").agg(F.array_sort(F.collect_list(F.struct("pos", "term"))).alias("at"))
-    on = on.where(F.size(F.array_distinct(F.transform("at", lambda x: x["term"]))) == F.col("n"))
-    near = lambda x: F.filter("at", lambda y: (y["pos"] >= x["pos"]) & (y["pos"] < x["pos"] + width))
-    full = F.filter("at", lambda x: F.size(F.array_distinct(F.transform(near(x), lambda y: y["term"]))) == F.col("n"))
-    return on.select("item_id", "doc_id", F.explode(full).alias("x")).select("item_id", "doc_id", F.col("x.pos").alias("pos"))
+    ahead = Window.partitionBy("did", "rk", "item_key").orderBy("pos").rangeBetween(0, width - 1)
+    on = index.join(sized(terms), "term").withColumn("near", F.size(F.collect_set("term").over(ahead)))
+    return on.where("near = n").select("item_id", "doc_id", "pos")

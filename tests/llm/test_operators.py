@@ -71,8 +71,25 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.contamination(empty, bench).count() == 0
     none = decontaminate.contamination(docs, bench.limit(0))
     assert none.count() == docs.count() and none.where("n_hit > 0").count() == 0
-    near = decontaminate.proximity(docs, spark.createDataFrame([(1, "of passage4 passage5")], "item_id long, text string"), 6).collect()
-    assert near and all(r.item_id == 1 for r in near)
+    query = spark.createDataFrame([(1, "of passage4 passage5"), (2, "words of of"), (3, "passage4 nowhere")], "item_id long, text string")
+    for width in (1, 3, 6):
+        near = by_row(decontaminate.proximity(docs, query, width).select("item_id", "doc_id", "pos"))
+        want = set()
+        for r in docs.collect():
+            w = WORD.findall(fold(r.text or ""))
+            for i, q in ((1, {"of", "passage4", "passage5"}), (2, {"words", "of"})):
+                want |= {(i, r.doc_id, p) for p in range(len(w)) if w[p] in q and q <= set(w[p : p + width])}
+        assert near == sorted(want, key=repr) and (width == 1 or near)
+
+
+def test_decontamination_of_periodic_texts(spark):
+    """A text of one repeated word, items of it, and items with repeated windows, against counting by hand."""
+    n = 200_000
+    docs = [(1, "a " * 20_000), (2, "a " * n), (3, "b " + "a " * 12 + "c"), (4, "x y " * 500), (5, "a b " * 6 + "a"), (6, "A-" * 13)]
+    items = [(10, "a " * 60), (11, "x y " * 40), (12, "a " * 13), (13, "c"), (14, "y x " * 7)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, list(r["items"]), r.contaminated) for r in decontaminate.contamination(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {1: (20_000, 20_000, ["10", "12"], True), 2: (n, n, ["10", "12"], True), 3: (14, 1, ["13"], True), 4: (1000, 1000, ["11", "14"], True), 5: (13, 0, [], False), 6: (13, 13, ["10", "12"], True)}
 
 
 def test_token_counts(spark, docs, empty):
