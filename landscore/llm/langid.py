@@ -1,14 +1,15 @@
 """Language ID with interpolated Kneser-Ney character models, one a language.
 
-Training: of the documents that may be learned from, about `per_language` of each of the `languages` most frequent labels,
-chosen by a hash of the id. The bound is on rows, so it does not grow with the table. Texts become lower-case letters and
-single spaces (every run of other characters); executors count n-grams; a fifth of the sample (again by hash) isn't
-counted but calibrates the rejection.
+Training: of the documents that may be learned from, about `per_language` of each label, however many labels there are,
+chosen by a hash of the id. The bound is on rows of a label, so it does not grow with the table. Texts become lower-case
+letters and single spaces (every run of other characters); executors count n-grams and build each language's model in a task
+of its own; a fifth of the sample (again by hash) isn't counted but calibrates the rejection. Only finished models reach the
+driver, which broadcasts them; if they have more than MODEL_BYTES together, fit() says so and stops.
 
 Model: for each language and order sorted arrays of n-gram hashes with their discounted probabilities, and of contexts with
 the weight passed down. p(w|h) = max(c(hw) - D, 0)/c(h) + D N1+(h.)/c(h) p(w|h'), lower orders with continuation counts
 (in how many contexts an n-gram is met), the lowest mixed with the uniform distribution. Whole texts are scored: every
-n-gram by position; each distinct one is looked up once and then found in a direct-mapped cache.
+n-gram by position; each distinct one is looked up once and then found in a direct-mapped cache of at most CACHE_BYTES.
 
 The language of lowest cross-entropy a character wins. score is its share of the languages' likelihoods over CERTAIN
 characters at most. accepted is false if no letter is there (lang_pred `und`), or if the text has FEW letters or more and its
@@ -17,19 +18,23 @@ all: what some 40 characters that fit no language (a key, a name) cost. So such
 
 Defined cases: null text, empty text and text without letters give `und`, score 0; ties go to the smallest label; rows are
 judged one by one, so repeated rows and null ids are no special case (a null id counts as held out); without any labelled
-row nothing is learned and all is `und`; other columns are ignored.
+row nothing is learned and all is `und`; other columns, of any names, are ignored by fit() and kept by identify() and judged().
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ORDER, PER_LANGUAGE, LANGUAGES, CERTAIN, FEW, SLACK, STRAY, PIECE = 4, 1500, 256, 32, 40, 0.5, 200.0, 1 << 20
+from .common import fresh, sized, stage
+
+ORDER, PER_LANGUAGE, CERTAIN, FEW, SLACK, STRAY, PIECE, CACHE_BYTES, MODEL_BYTES = 4, 1500, 32, 40, 0.5, 200.0, 1 << 20, 32 << 20, 1 << 29
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = 32
 
@@ -69,15 +74,12 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def sample(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES) -> DataFrame:
+def sample(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> DataFrame:
     """lang, text, calibrate of the training sample."""
-    rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
-    if not counts:
-        return rows.select("lang", "text", F.lit(False).alias("calibrate"))
-    part = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, per_language / r["count"]))])
+    rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
+    counts = sized(stage(rows.groupBy("lang").agg(F.count("*").alias("n")), "labels"))
     spot = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = rows.where(spot < F.coalesce(part[F.col("lang")], F.lit(0.0)))
+    chosen = rows.join(counts, "lang").where(spot * F.col("n") < per_language)
     return chosen.select("lang", "text", (F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(5)) == 0).alias("calibrate"))
 
 
@@ -162,17 +164,22 @@ class Model:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"cache": None}
 
+    def bits(self) -> int:
+        """Of the number of places in the cache: fewer with many languages."""
+        return max(4, min(18, (CACHE_BYTES // (8 * len(self.langs) + 8)).bit_length() - 1))
+
     def entropies(self, s: np.ndarray) -> np.ndarray:
         """Sums over a text's symbols (of symbols()) of -log p, for each language."""
         if self.cache is None:
-            self.cache = np.zeros(1 << 18, np.uint64), np.zeros((1 << 18, len(self.langs)))
+            self.cache = np.zeros(1 << self.bits(), np.uint64), np.zeros((1 << self.bits(), len(self.langs)))
         keys, values = self.cache
+        high = np.uint64(64 - self.bits())
         total = np.zeros(len(self.langs))
         for at in range(1, len(s), PIECE):
             part = s[max(0, at - self.order + 1) : at + PIECE]
             lead = min(at, self.order - 1)
             h = gram_keys(part, self.order)[lead - 1 :]
-            slot = (h >> np.uint64(46)).astype(np.int64)
+            slot = (h >> high).astype(np.int64)
             bad = np.flatnonzero(keys[slot] != h)
             if len(bad):
                 new, first, inverse = np.unique(h[bad], return_index=True, return_inverse=True)
@@ -184,7 +191,7 @@ class Model:
                 good = np.ones(len(h), bool)
                 good[bad] = False
                 total -= values[slot[good]].sum(0)
-                where = (new >> np.uint64(46)).astype(np.int64)
+                where = (new >> high).astype(np.int64)
                 where, own = np.unique(where, return_index=True)
                 keys[where], values[where] = new[own], lp[own]
             else:
@@ -205,11 +212,19 @@ class Model:
 
 
 def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, order: int = ORDER) -> Model:
-    rows = sample(docs, learn, per_language)
-    counts: dict[str, dict[str, int]] = {}
-    for r in count_grams(rows.where("not calibrate"), order).toLocalIterator():
-        counts.setdefault(r["lang"], {})[r["gram"]] = r["n"]
-    model = Model({k: KneserNey(v, order) for k, v in counts.items()}, order)
+    """A model of all labels. A shuffle deals the n-grams out by language; a language's task sees the counts of at most about
+    per_language documents."""
+    rows = stage(sample(docs, learn, per_language), "language_sample")
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        model = KneserNey(dict(zip(pdf["gram"], pdf["n"], strict=True)), order)
+        return pd.DataFrame([{"lang": pdf["lang"].iloc[0], "model": pickle.dumps(model)}])
+
+    built = stage(count_grams(rows.where("not calibrate"), order).groupBy("lang").applyInPandas(build, "lang string, model binary"), "language_models")
+    size = built.agg(F.coalesce(F.sum(F.octet_length("model")), F.lit(0))).first()[0]
+    if size > MODEL_BYTES:
+        raise ValueError(f"language models of {size} bytes are too large to be broadcast: fit on fewer labels or a smaller per_language")
+    model = Model({r["lang"]: pickle.loads(bytes(r["model"])) for r in built.toLocalIterator()}, order)
     if model.langs:
         held = rows.sparkSession.sparkContext.broadcast(model)
 
@@ -221,23 +236,27 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, order:
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in hit], pa.string()), pa.array([x[1] for x in hit], pa.float64())], ["lang", "h"])
 
         most = rows.where("calibrate").select("lang", "text").mapInArrow(run, "lang string, h double").groupBy("lang").agg(F.max("h").alias("h"))
-        for r in most.collect():
+        for r in most.toLocalIterator():
             model.limits[model.langs.index(r["lang"])] = r["h"] + SLACK
     return model
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows with all their columns, and lang_pred, score, accepted. A column of one of these names is replaced."""
+def judged(docs: DataFrame, model: Model, name: str) -> DataFrame:
+    """The rows with all their columns and one more of that name: a struct of lang_pred, score, accepted."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double, accepted boolean")
-    def judged(texts):
-        import pandas as pd
-
+    def judge(texts):
         m = held.value
         out = [m.judge(t)[:3] for t in texts]
         return pd.DataFrame(out, columns=["lang_pred", "score", "accepted"])
 
-    rest = [c for c in docs.columns if c not in ("lang_pred", "score", "accepted", "_judged")]
-    out = docs.select(*rest, judged("text").alias("_judged"))
-    return out.select(*rest, "_judged.lang_pred", "_judged.score", "_judged.accepted")
+    return docs.select("*", judge("text").alias(name))
+
+
+def identify(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows with all their columns, and lang_pred, score, accepted. A column of one of these names is replaced."""
+    own = ("lang_pred", "score", "accepted")
+    (name,) = fresh(docs.columns, "judged")
+    out = judged(docs, model, name)
+    return out.select(*[f"`{c}`" for c in docs.columns if c.lower() not in own], *[f"{name}.{c}" for c in own])

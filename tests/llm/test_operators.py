@@ -462,6 +462,73 @@ def test_language_id(spark, empty):
     assert np.allclose(model.entropies(s), want) and np.allclose(model.entropies(s), want)
 
 
+def brute_kneser_ney(texts, order):
+    """log p of each symbol of a text by the textbook's recursion over dictionaries of counts, without hashes or arrays."""
+    clean = lambda t: " " * (order - 1) + "".join(re.findall(r".", re.sub(r"[^a-zà-ÿ]+", " ", " " + t.lower()), re.S))[1:]
+    full = Counter()
+    for t in texts:
+        c = clean(t)
+        full.update(c[i - order + 1 : i + 1] for i in range(order - 1, len(c)))
+    tables = [full]
+    for _ in range(order - 1):
+        tables.append(Counter(g[1:] for g in tables[-1]))
+    tables = tables[::-1]  # tables[k]: counts of k + 1 symbols, continuation counts below the highest order
+
+    def p(context, w):
+        if not context:
+            below, k = 1 / (len(tables[0]) + 1), 0
+        else:
+            below, k = p(context[1:], w), len(context)
+        t = tables[k]
+        ones, twos = sum(v == 1 for v in t.values()), sum(v == 2 for v in t.values())
+        d = ones / (ones + 2 * twos) if ones and twos else 0.5
+        after = [v for g, v in t.items() if g[:-1] == context]
+        if not after:
+            return below
+        seen = t.get(context + w, 0)
+        return (seen - d if seen else 0) / sum(after) + d * len(after) / sum(after) * below
+
+    return lambda t: sum(math.log(p(c[i - order + 1 : i], c[i])) for c in [clean(t)] for i in range(order - 1, len(c)))
+
+
+def test_kneser_ney(spark):
+    """Cross-entropies against the textbook's formula, on texts with unseen symbols and contexts too."""
+    r = random.Random(3)
+    corpus = {"x": ["".join(r.choice("abc dé") for _ in range(40)) for _ in range(12)], "y": ["".join(r.choice("xyz ba") for _ in range(40)) for _ in range(12)]}
+    rows = [(i, t, k) for i, (k, t) in enumerate((k, t) for k, ts in corpus.items() for t in ts)]
+    #: Which of them calibrate depends on a hash; the others are learned from.
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = {x: [r.text for r in langid.sample(df, F.lit(True)).where("not calibrate").collect() if r.lang == x] for x in corpus}
+    model = langid.fit(df, F.lit(True))
+    assert model.langs == ["x", "y"] and all(learned.values())
+    brute = {x: brute_kneser_ney(ts, langid.ORDER) for x, ts in learned.items()}
+    for t in [corpus["x"][0], corpus["y"][3], "abba zq  qq é", "q"]:
+        want = [-brute[x](t) for x in model.langs]
+        assert np.allclose(model.entropies(langid.symbols(t)), want), t
+        assert model.judge(t)[0] == model.langs[int(np.argmin(want))]
+
+
+def test_many_labels(spark):
+    """No label is left out, and the cache of a worker stays in its bounds."""
+    rows = [(10 * i + j, f"{chr(0x4E00 + i) * 3} {chr(0x4E00 + i)}a" * 4, f"l{i:03d}") for i in range(300) for j in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df, F.lit(True))
+    assert len(model.langs) == 300 and (8 << model.bits()) * 301 <= langid.CACHE_BYTES
+    assert langid.identify(df, model).where("lang_pred <> lang").count() == 0
+
+
+def test_long_text_language(spark):
+    """A text of several pieces has the sums of all its symbols."""
+    r = random.Random(2)
+    model = langid.Model({"a": langid.KneserNey(Counter("".join(r.choice("abcd ") for _ in range(4)) for _ in range(400)))})
+    s = langid.symbols("".join(r.choice("abcd ") for _ in range(langid.PIECE * 2 + 77)))
+    whole = model.entropies(s)
+    piece, langid.PIECE = langid.PIECE, 1 << 12
+    parts = model.entropies(s)
+    langid.PIECE = piece
+    assert len(s) > 1.2 * langid.PIECE and np.allclose(whole, parts, rtol=1e-9)
+
+
 def test_digests():
     assert line_dedup.digest("a") == suffix.digest(b"a") == hashlib.sha256(b"a").hexdigest()
 
