@@ -8,8 +8,9 @@ shingles), so both limits are some 5 standard deviations away. First a spanning
 shingles (their 64-bit hashes), then all pairs that the confirmed links don't join. No estimate links documents.
 
 Defined cases: null or empty text has the empty set and is a copy of any other such; rows that share an id and have
-different texts are judged apart; repeated rows are returned as they are; a null doc_id takes no part (component_id null,
-first false); other columns are ignored.
+different texts are judged apart; repeated rows are returned as they are; a null doc_id takes part and comes behind all
+others (component_id is null only where no row of the group has an id; then the first row is that of the smallest hash of
+its text); other columns, of any names, are ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sized, stage
+from .common import row_key, sized, stage
 from .graph import components
 from .simhash import ONES, SEED, SIMILAR_WORDS, SIMILARITY, TILE, majority, searched, shingle_hashes, wide_limit, widened
 
@@ -49,35 +50,36 @@ def signature(text: str | None, size: int = SIMILAR_WORDS) -> tuple[bytes, bytes
 
 
 def with_row_key(docs: DataFrame) -> DataFrame:
-    """doc_id, rk (tells an id's texts apart), text."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("rk"), "text")
+    """doc_id, did (doc_id without null), rk (tells an id's texts apart), text."""
+    did, rk = row_key(F.col("doc_id"), F.col("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), did.alias("did"), rk.alias("rk"), "text")
 
 
 def signatures(docs: DataFrame, size: int = SIMILAR_WORDS) -> DataFrame:
-    """doc_id, rk, digest, fp (the first 64 bits of wide), wide, bands; one row for each input row."""
+    """doc_id, did, rk, digest, fp (the first 64 bits of wide), wide, bands; one row for each input row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            each = [signature(t, size) for t in b.column(2).to_pylist()]
+            each = [signature(t, size) for t in b.column(3).to_pylist()]
             fp = np.array([np.frombuffer(x[1], np.int64)[0] for x in each], np.int64)
             binary = [pa.array([x[i] for x in each], pa.binary()) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), binary[0], pa.array(fp), binary[1], pa.array([x[2] for x in each], pa.list_(pa.int64()))],
-                ["doc_id", "rk", "digest", "fp", "wide", "bands"],
+                [b.column(0), b.column(1), b.column(2), binary[0], pa.array(fp), binary[1], pa.array([x[2] for x in each], pa.list_(pa.int64()))],
+                ["doc_id", "did", "rk", "digest", "fp", "wide", "bands"],
             )
 
-    return with_row_key(docs).mapInArrow(run, "doc_id long, rk long, digest binary, fp long, wide binary, bands array<long>")
+    return with_row_key(docs).mapInArrow(run, "doc_id long, did long, rk long, digest binary, fp long, wide binary, bands array<long>")
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame, size: int = SIMILAR_WORDS) -> DataFrame:
-    """node, items (sorted shingle hashes). nodes: node, doc_id, rk."""
+    """node, items (sorted shingle hashes). nodes: node, did, rk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             items = [np.unique(shingle_hashes(t or "", size)).tobytes() for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(items, pa.binary())], ["node", "items"])
 
-    rows = with_row_key(docs).join(sized(nodes), ["doc_id", "rk"]).select("node", "text")
+    rows = with_row_key(docs).join(sized(nodes), ["did", "rk"]).select("node", "text")
     return rows.mapInArrow(run, "node long, items binary").dropDuplicates(["node"])
 
 
@@ -99,10 +101,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY)
 
 
 def near_copies(docs: DataFrame, similarity: float = SIMILARITY, size: int = SIMILAR_WORDS, tile: int = TILE) -> DataFrame:
-    """doc_id, rk (xxhash64 of id and text), component_id (the group's smallest id), first (whether the row is of the group's
-    first id and text); one row for each input row."""
+    """doc_id, did, rk (row_key() of id and text), component_id (the group's smallest id), first (whether the row is of the
+    group's first id and text); one row for each input row."""
     rows = stage(signatures(docs, size), "signatures")
-    distinct = rows.where("doc_id is not null").groupBy("digest").agg(F.min(F.struct("doc_id", "rk")).alias("least"), F.first("fp").alias("fp"), F.first("wide").alias("wide"), F.first("bands").alias("bands"))
+    distinct = rows.groupBy("digest").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "did", "rk")).alias("least"), F.first("fp").alias("fp"), F.first("wide").alias("wide"), F.first("bands").alias("bands"))
     distinct = stage(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct")
     keys = distinct.select("node", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
@@ -111,7 +113,7 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, size: int = SIM
     ordered = lambda p: p.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     spans = stage(ordered(searched(signed, LANE_RADIUS, LOOSE, min(LOOSE, wide_limit(similarity)))), "candidates")
     nodes = spans.select(F.col("a").alias("node")).union(spans.select("b")).distinct()
-    sets = stage(shingle_sets(docs, stage(nodes.join(distinct, "node").select("node", "least.doc_id", "least.rk"), "candidate_nodes"), size), "shingle_sets")
+    sets = stage(shingle_sets(docs, stage(nodes.join(distinct, "node").select("node", "least.did", "least.rk"), "candidate_nodes"), size), "shingle_sets")
     near = stage(confirmed(spans, sets, similarity), "near")
     trees = stage(components(near), "trees")
     apart = signed.join(nodes, "node", "left_semi").join(trees.withColumnRenamed("root", "tree"), "node", "left").withColumn("tree", F.coalesce("tree", "node"))
@@ -121,6 +123,6 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, size: int = SIM
     roots = stage(roots, "roots")
     firsts = roots.groupBy("root").agg(F.min("least").alias("least"))
     by_digest = roots.select("digest", "root").join(firsts, "root").select("digest", "least")
-    out, known = rows.select("doc_id", "rk", "digest").join(by_digest, "digest", "left"), F.col("doc_id").isNotNull()
-    first = F.coalesce(known & (F.col("doc_id") == F.col("least.doc_id")) & (F.col("rk") == F.col("least.rk")), F.lit(False))
-    return out.select("doc_id", "rk", F.when(known, F.col("least.doc_id")).alias("component_id"), first.alias("first"))
+    out = rows.select("doc_id", "did", "rk", "digest").join(by_digest, "digest")
+    first = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("rk") == F.col("least.rk"))
+    return out.select("doc_id", "did", "rk", F.col("least.doc_id").alias("component_id"), first.alias("first"))

@@ -10,24 +10,30 @@ arrival's partitions are. compact() plans on the manifest: shards of a tier (wit
 are merged in runs that come to the target size; a run short of it is merged once it has FANOUT shards. Runs are planned
 until nothing changes, so every row is moved once, in one job: each run becomes one file. Shards of over BEYOND times the
 target (rows much longer than the arrival's mean) are split in the same job, rows dealt in turn. vacuum() removes files of
-versions before the last.
+versions before the last `keep` ones, and files that no version has, once they are older than `grace` seconds (younger ones
+may belong to a writer that hasn't committed yet).
 
-Defined cases: nulls, empty and long texts, repeated rows and any columns are kept as they are (columns named like the
-store's own, `_run`, `_path` and `_row`, are refused); a shard of one row is never split; arrivals without rows commit a version without new shards; reading a store
-without shards gives the empty table of its schema.
+append() and compact() start again from the new version if another writer was first: an append's files are kept, a
+compaction's too if all shards that it replaces are still there, else they are removed and it is planned anew. A rename
+onto an existing name must fail for that: so it is on HDFS and local disks; an object store needs a committer that has it.
+
+Defined cases: nulls, empty and long texts, ties, repeated rows and any columns are kept as they are (read() adds the shard
+under a name that no column has); a shard of one row is never split; arrivals without rows commit a version without new
+shards; reading a store without shards gives the empty table of its schema.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
-from .common import hadoop_path
+from .common import BROADCAST_ROWS, fresh, hadoop_path
 
 TARGET, FANOUT, SMALL, BEYOND = 32 << 20, 4, 256 << 10, 1.25
 
@@ -142,8 +148,6 @@ class Store:
     def append(self, df: DataFrame, small_rows: int = 0) -> dict:
         """A new version with an arrival's rows as shards, one or more for each of its partitions. small_rows: how many rows
         a shard has at most; 0: as many as the mean size of the arrival's rows allows (one more pass over it)."""
-        if {"_run", "_path", "_row"} & set(df.columns):
-            raise ValueError("columns _run, _path and _row are the store's own")
         folder = uuid.uuid4().hex
         small_rows = small_rows or max(1, int(self.target / self.fanout / max(1.0, row_bytes(df))))
         df.write.option("compression", "zstd").option("maxRecordsPerFile", small_rows).parquet(f"{self.root}/data/{folder}")
@@ -158,13 +162,27 @@ class Store:
     def compact(self) -> dict:
         """A new version in which similar small shards are merged and oversized ones split; the same version if there is
         nothing to do."""
-        base = self.manifest()
-        runs = plan(base["shards"], self.target, self.fanout)
-        split = oversized(base["shards"], self.target)
+        while True:
+            base = self.manifest()
+            runs = plan(base["shards"], self.target, self.fanout)
+            split = oversized(base["shards"], self.target)
+            if not runs and not split:
+                return base
+            folder = uuid.uuid4().hex
+            gone = self._rewrite(base["schema"], runs, split, folder)
+            new = self._written(folder)
+            while gone <= {s["file"] for s in base["shards"]}:
+                try:
+                    return self.commit(base, base["schema"], [s for s in base["shards"] if s["file"] not in gone] + new)
+                except Conflict:
+                    base = self.manifest()
+            self._remove([folder])
+
+    def _rewrite(self, schema: str, runs: list[list[dict]], split: list[tuple[dict, int]], folder: str) -> set[str]:
+        """Each run as one file and each oversized shard as several, in a new folder; the files that they replace."""
+        kind = StructType.fromJson(json.loads(schema))
+        to, path, row = fresh(kind.names, "_run", "_path", "_row")
         n = len(runs) + sum(k for _, k in split)
-        if not n:
-            return base
-        folder = uuid.uuid4().hex
         #: Numbers of runs that hash to partitions of their own, so no task gets two runs.
         spot = F.pmod(F.hash(F.col("id").cast("int")), F.lit(n))
         numbers = [r["id"] for r in self.spark.range(40 * n + 1000).groupBy(spot).agg(F.min("id").alias("id")).toLocalIterator()]
@@ -172,31 +190,43 @@ class Store:
         where = [(s["file"], [i]) for i, run in zip(numbers, runs, strict=False) for s in run]
         rest = iter(numbers[len(runs) :])
         where += [(s["file"], [next(rest) for _ in range(k)]) for s, k in split]
-        table = self.spark.createDataFrame(where, "_path string, _run array<int>")
-        rows = self.spark.read.schema(StructType.fromJson(json.loads(base["schema"]))).parquet(*[f"{self.root}/data/{f}" for f, _ in where])
-        rows = rows.withColumns({"_path": F.element_at(F.split("_metadata.file_path", "/data/"), -1), "_row": F.col("_metadata.row_index")})
-        rows = rows.join(F.broadcast(table) if len(where) <= 50_000 else table, "_path")
-        rows = rows.withColumn("_run", F.get("_run", F.pmod("_row", F.size("_run")).cast("int"))).drop("_path", "_row")
-        rows = rows.repartition(n, "_run")
-        rows.write.option("compression", "zstd").partitionBy("_run").parquet(f"{self.root}/data/{folder}")
-        gone = {f for f, _ in where}
-        return self.commit(base, base["schema"], [s for s in base["shards"] if s["file"] not in gone] + self._written(folder))
+        table = self.spark.createDataFrame(where, StructType().add(path, "string").add(to, ArrayType(IntegerType())))
+        rows = self.spark.read.schema(kind).parquet(*[f"{self.root}/data/{f}" for f, _ in where])
+        rows = rows.withColumns({path: F.element_at(F.split("_metadata.file_path", "/data/"), -1), row: F.col("_metadata.row_index")})
+        rows = rows.join(F.broadcast(table) if len(where) <= BROADCAST_ROWS else table, path)
+        rows = rows.withColumn(to, F.get(to, F.pmod(row, F.size(to)).cast("int"))).drop(path, row)
+        rows.repartition(n, to).write.option("compression", "zstd").partitionBy(to).parquet(f"{self.root}/data/{folder}")
+        return {f for f, _ in where}
 
     def read(self, version: int | None = None) -> DataFrame:
-        """The rows of a version, with shard (the file they are in)."""
+        """The rows of a version, with the file they are in (column shard, or _shard ... if the rows have that themselves)."""
         m = self.manifest(version)
         schema = StructType.fromJson(json.loads(m["schema"]))
+        (shard,) = fresh(schema.names, "shard")
         if not m["shards"]:
-            return self.spark.createDataFrame([], schema).withColumn("shard", F.lit(None).cast("string"))
+            return self.spark.createDataFrame([], schema).withColumn(shard, F.lit(None).cast("string"))
         files = [f"{self.root}/data/{s['file']}" for s in m["shards"]]
         rows = self.spark.read.schema(schema).parquet(*files)
-        return rows.withColumn("shard", F.element_at(F.split("_metadata.file_path", "/data/"), -1))
-
-    def vacuum(self) -> None:
-        """Files that the last version doesn't have."""
-        keep = {s["file"] for s in self.manifest()["shards"]}
-        for v in range(1, self.version()):
-            for s in self.manifest(v)["shards"]:
-                if s["file"] not in keep:
-                    fs, p = hadoop_path(self.spark, f"{self.root}/data/{s['file']}")
-                    fs.delete(p, False)
+        return rows.withColumn(shard, F.element_at(F.split("_metadata.file_path", "/data/"), -1))
+
+    def _remove(self, files: list[str]) -> None:
+        for f in files:
+            fs, p = hadoop_path(self.spark, f"{self.root}/data/{f}")
+            fs.delete(p, True)
+
+    def vacuum(self, keep: int = 1, grace: float = 86_400.0) -> None:
+        """Remove the files that only versions before the last `keep` have, and those that no version has after `grace` seconds."""
+        last = self.version()
+        kept = {s["file"] for v in range(max(1, last - keep + 1), last + 1) for s in self.manifest(v)["shards"]}
+        old = {s["file"] for v in range(1, last - keep + 1) for s in self.manifest(v)["shards"]}
+        known, orphans, before = kept | old, [], 1000 * (time.time() - grace)
+        fs, top = hadoop_path(self.spark, f"{self.root}/data")
+        todo = [top] if fs.exists(top) else []
+        while todo:
+            for s in fs.listStatus(todo.pop()):
+                name = s.getPath().toString().split("/data/", 1)[1]
+                if s.isDirectory():
+                    todo.append(s.getPath())
+                elif name.endswith(".parquet") and name not in known and s.getModificationTime() < before:
+                    orphans.append(name)
+        self._remove([*sorted(old - kept), *orphans])

@@ -12,8 +12,9 @@ different regions are compared by a suffix array:
 * the permuted longest common prefixes are computed for irreducible positions and carried on along the text
   (PLCP[i] = PLCP[i - 1] - 1 elsewhere); a start repeats if it has LENGTH bytes in common with a neighbour.
 
-A name with more than MOST_REGIONS different regions (one passage in a large part of all documents, each in another
-context) isn't given to one task: its starts are dealt out one by one, by a digest of their LENGTH bytes, and counted.
+A name with more than MOST_REGIONS different regions, or more than MOST_CONTENT bytes of them (one passage in a large part
+of all documents, each in another context; periodic text), isn't given to one task, which holds some 90 bytes for each byte:
+its starts are dealt out one by one, by a digest of their LENGTH bytes, and counted.
 
 Defined cases: null text is empty; texts under LENGTH bytes lose nothing and match nothing; each row is a document of its
 own, so repeated rows remove each other's long enough texts; a null doc_id is returned as null; other columns are ignored.
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import row_key, sized, stage
 from .seen import Twice, seen_twice, unique_hashes
 
-LENGTH, GRAM, BLOCK, MOST_STARTS, MOST_REGIONS, SHARD_BYTES = 200, 64, 1 << 20, 2048, 20_000, 1 << 20
+LENGTH, GRAM, BLOCK, MOST_STARTS, MOST_REGIONS, MOST_CONTENT, SHARD_BYTES = 200, 64, 1 << 20, 2048, 20_000, 5 << 20, 1 << 20
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -307,8 +308,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
     """did, rk, spans (array of first, end, first, end ... of bytes that go) of the rows that lose bytes."""
     found = suspect_regions(docs, length, gram)
     distinct = stage(found.groupBy("name", "d1", "d2").agg(F.count("*").alias("n"), F.max("content").alias("content")), "distinct_regions")
-    per_name = distinct.groupBy("name").agg(F.count("*").alias("k"))
-    hot = stage(per_name.where(F.col("k") > most_regions).select("name"), "hot_names")
+    per_name = distinct.groupBy("name").agg(F.count("*").alias("k"), F.sum(F.octet_length("content")).alias("size"))
+    hot = stage(per_name.where((F.col("k") > most_regions) | (F.col("size") > MOST_CONTENT)).select("name"), "hot_names")
     some_hot = hot.limit(1).count() > 0
     cool = distinct.join(sized(hot), "name", "left_anti") if some_hot else distinct
 

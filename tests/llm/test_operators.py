@@ -570,6 +570,12 @@ def test_near_copies(spark, docs, empty, tile):
     assert len(pairs) > 60 and {i: x.component_id for i, x in got.items()} == dict(enumerate(roots))
     assert all(x.first == (i == roots[i]) for i, x in got.items())
     assert near_copies.near_copies(empty).count() == 0
+    alone = " ".join(f"alone{i}" for i in range(30))
+    more = table.union(spark.createDataFrame([(None, every[0]), (None, alone), (None, alone + " end"), (None, alone)], table.schema))
+    out = near_copies.near_copies(more, tile=tile).collect()
+    assert {x.doc_id: x.component_id for x in out if x.doc_id is not None} == {i: x.component_id for i, x in got.items()}
+    lone = [x for x in out if x.doc_id is None]
+    assert sorted((x.component_id is None, x.first) for x in lone)[:1] == [(False, False)] and len({x.rk for x in lone if x.first}) == 1
     #: The old rule: words' fingerprints within 6 bits and 512 bits within the limit lose some of these.
     sig = [brute_signature(t) for t in every]
     assert any((sig[a][0] ^ sig[b][0]).bit_count() > 6 or (sig[a][1] ^ sig[b][1]).bit_count() > simhash.wide_limit() for a, b in pairs)
@@ -589,6 +595,42 @@ def test_near_copies_recall():
     assert lost <= 2
 
 
+def test_sharding_beside_other_writers(spark):
+    """A compaction that another writer's commit overtakes ends on top of it, or is planned anew; nothing is lost, files of
+    nobody go; columns may be named like the store's own."""
+    rows = [(i, f"text {i} " * 20, i) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, _run string, _path long").withColumns({"_row": F.lit(1), "shard": F.lit("x")})
+
+    class Raced(sharding.Store):
+        others = 0
+
+        def _rewrite(self, *args):
+            out = super()._rewrite(*args)
+            if self.others:
+                self.others -= 1
+                other = sharding.Store(self.spark, self.root, self.target, self.fanout)
+                other.append(df.limit(7))
+                if self.others:
+                    other.compact()
+            return out
+
+    #: Of two others the first appends and compacts, so nothing is left to do in the second round.
+    for others, extra in ((1, 7), (2, 7)):
+        store = Raced(spark, new_folder(spark, "raced"), target=1 << 16, fanout=2)
+        store.append(df.repartition(6))
+        store.others = others
+        store.compact()
+        out = store.read()
+        assert out.count() == 300 + extra and out.columns == [*df.columns, "_shard"]
+        assert out.dropDuplicates().where("shard = 'x' and _row = 1").select("doc_id").distinct().count() == 300
+        fs, p = sharding.hadoop_path(spark, f"{store.root}/data/lost/part-0.parquet")
+        fs.create(p).close()
+        store.vacuum()
+        assert fs.exists(p)
+        store.vacuum(grace=-5)
+        assert not fs.exists(p) and store.read().count() == 300 + extra
+
+
 def test_sharding_large_partition(spark):
     """One arrival of one large partition: small shards that tiers merge, or one shard that is split; then near the target."""
     r = random.Random(8)
