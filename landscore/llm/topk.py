@@ -96,10 +96,18 @@ class Best:
         """Candidates' scores for the queries at some places."""
         self.fit(new.dtype.kind)
         kind = self.scores.dtype.kind
-        new = new.astype(self.scores.dtype)
-        own = rows[None, :] == self.rows[at][:, None]
-        all_i = np.concatenate([self.ids[at], np.where(own, -1, np.broadcast_to(ids, new.shape))], 1)
-        all_s = np.concatenate([self.scores[at], np.where(own, _NONE[kind], new)], 1)
+        new = np.where(rows[None, :] == self.rows[at][:, None], _NONE[kind], new.astype(self.scores.dtype))
+        ids = np.broadcast_to(ids, new.shape)
+        if kind != "O":
+            #: Only what reaches the k-th score can change anything: so many of each row at most.
+            reach = (new >= self.least[at][:, None]).sum(1)
+            at, new, ids, most = at[reach > 0], new[reach > 0], ids[reach > 0], int(reach.max(initial=0))
+            if not most:
+                return
+            if most < new.shape[1]:
+                some = np.argpartition(new, new.shape[1] - most, axis=1)[:, -most:]
+                new, ids = np.take_along_axis(new, some, 1), np.take_along_axis(ids, some, 1)
+        all_i, all_s = np.concatenate([self.ids[at], ids], 1), np.concatenate([self.scores[at], new], 1)
         if kind == "O":
             order = np.array([sorted(range(len(s)), key=lambda j: (-s[j], i[j]))[: self.k] for s, i in zip(all_s, all_i, strict=True)]).reshape(len(at), -1)
         else:
