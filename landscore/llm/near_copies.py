@@ -4,8 +4,11 @@ Rows with the same set are one node. Candidates share a band of minima of the sh
 share one with a probability of 1 - (1 - s**BAND_ROWS)**BANDS, by whatever edits they differ; at 0.8 that is 0.99993. In a
 band's bucket the sets' wide SimHash fingerprints are compared as in simhash.py: the first 64 bits bit-sliced within
 LANE_RADIUS, then all bits within LOOSE. Sets of similarity 0.8 differ in at most 0.1875 of the bits on average (4 of 5
-shingles), so both limits are some 5 standard deviations away. First a spanning forest of each bucket is confirmed by the
-shingles (their 64-bit hashes), then all pairs that the confirmed links don't join. No estimate links documents.
+shingles), so both limits are some 5 standard deviations away. A bucket gives out a spanning forest of its candidates; its
+trees are families, and no candidate is outside of one. Then a family's shingle sets (their 64-bit hashes) come together
+once, all its pairs are compared again bit-sliced, and pairs not yet linked are judged by their exact similarity on the
+spot, so that again only spanning links come out. Families of over FAMILY nodes or FAMILY_BYTES are cut into tiles, a task
+for each pair of tiles. No estimate links documents, and no pairs of a family are written.
 
 Defined cases: null or empty text has the empty set and is a copy of any other such; rows that share an id and have
 different texts are judged apart; repeated rows are returned as they are; a null doc_id takes part and comes behind all
@@ -16,7 +19,6 @@ its text); other columns, of any names, are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from fractions import Fraction
 from hashlib import blake2b
 
 import numpy as np
@@ -26,9 +28,9 @@ from pyspark.sql import functions as F
 
 from .common import row_key, sized, stage
 from .graph import components
-from .simhash import ONES, SEED, SIMILAR_WORDS, SIMILARITY, TILE, majority, searched, shingle_hashes, wide_limit, widened
+from .simhash import ONES, SEED, SIMILAR_WORDS, SIMILARITY, TILE, majority, searched, shingle_hashes, widened
 
-BANDS, BAND_ROWS, LANE_RADIUS, LOOSE = 24, 5, 28, 140
+BANDS, BAND_ROWS, LANE_RADIUS, LOOSE, FAMILY, FAMILY_BYTES = 24, 5, 28, 140, 4096, 32 << 20
 
 
 def band_keys(h: np.ndarray, bands: int = BANDS, rows: int = BAND_ROWS) -> np.ndarray:
@@ -83,24 +85,7 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, size: int = SIMILAR_WORDS) -
     return rows.mapInArrow(run, "node long, items binary").dropDuplicates(["node"])
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) whose sets (node, items) have this Jaccard similarity or more."""
-    least = Fraction(str(similarity))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = []
-            for i in range(b.num_rows):
-                x, y = (np.frombuffer(b.column(c)[i].as_buffer() or b"", np.uint64) for c in (2, 3))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both * least.denominator >= least.numerator * (len(x) + len(y) - both))
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    met = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("of_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("items").alias("of_b")), "b")
-    return met.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
-
-
-def near_copies(docs: DataFrame, similarity: float = SIMILARITY, size: int = SIMILAR_WORDS, tile: int = TILE) -> DataFrame:
+def near_copies(docs: DataFrame, similarity: float = SIMILARITY, size: int = SIMILAR_WORDS, tile: int = TILE, family: int | None = None) -> DataFrame:
     """doc_id, did, rk (row_key() of id and text), component_id (the group's smallest id), first (whether the row is of the
     group's first id and text); one row for each input row."""
     rows = stage(signatures(docs, size), "signatures")
@@ -110,15 +95,16 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, size: int = SIM
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
     met = stage(keys.join(sized(stage(shared, "shared_bands")), "key"), "met")
     signed = met.join(distinct.select("node", "fp", "wide"), "node").withColumn("t", F.lit(0))
-    ordered = lambda p: p.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    spans = stage(ordered(searched(signed, LANE_RADIUS, LOOSE, min(LOOSE, wide_limit(similarity)))), "candidates")
-    nodes = spans.select(F.col("a").alias("node")).union(spans.select("b")).distinct()
-    sets = stage(shingle_sets(docs, stage(nodes.join(distinct, "node").select("node", "least.did", "least.rk"), "candidate_nodes"), size), "shingle_sets")
-    near = stage(confirmed(spans, sets, similarity), "near")
-    trees = stage(components(near), "trees")
-    apart = signed.join(nodes, "node", "left_semi").join(trees.withColumnRenamed("root", "tree"), "node", "left").withColumn("tree", F.coalesce("tree", "node"))
-    more = ordered(searched(apart, LANE_RADIUS, LOOSE)).join(spans, ["a", "b"], "left_anti")
-    near = near.union(stage(confirmed(stage(more, "candidates"), sets, similarity), "near"))
+    families = stage(components(searched(signed, LANE_RADIUS, LOOSE)), "families")
+    nodes = families.join(distinct, "node").select("node", F.col("root").alias("key"), "fp", "wide", "least.did", "least.rk")
+    nodes = stage(nodes, "candidate_nodes")
+    sets = shingle_sets(docs, nodes.select("node", "did", "rk"), size)
+    members = stage(nodes.drop("did", "rk").join(sets, "node"), "members")
+    sums = members.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.octet_length("items")).alias("size"))
+    tiles = F.greatest(F.ceil(F.col("n") / (family or FAMILY)), F.ceil(F.col("size") / FAMILY_BYTES)).cast("int")
+    hot = sized(stage(sums.withColumn("tiles", tiles).where("tiles > 1").select("key", "tiles"), "hot_families"))
+    members = members.join(hot, "key", "left").withColumns({"tiles": F.coalesce("tiles", F.lit(1)), "t": F.lit(0)})
+    near = stage(searched(members, LANE_RADIUS, LOOSE, similarity), "near")
     roots = distinct.select("digest", "node", "least").join(components(near), "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root"))
     roots = stage(roots, "roots")
     firsts = roots.groupBy("root").agg(F.min("least").alias("least"))

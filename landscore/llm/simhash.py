@@ -20,7 +20,8 @@ part in links (component_id null); other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from fractions import Fraction
 from itertools import combinations
 from math import comb
 
@@ -174,16 +175,19 @@ class Forest:
         return up
 
 
-def spanning(forest: Forest, a: np.ndarray, b: np.ndarray, wide: np.ndarray | None, limit: int) -> list[tuple[int, int]]:
-    """Those of the pairs (with wide: of those within the limit) that join two trees."""
+Near = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
+
+def spanning(forest: Forest, a: np.ndarray, b: np.ndarray, near: Near | None) -> list[tuple[int, int]]:
+    """Those of the pairs (that are near) that join two trees."""
     out, label = [], forest.labels()
     for k in range(0, len(a), SLICE):
         x, y = a[k : k + SLICE], b[k : k + SLICE]
         apart = label[x] != label[y]
         x, y = x[apart], y[apart]
-        if wide is not None and len(x):
-            near = np.bitwise_count(wide[x] ^ wide[y]).sum(axis=1, dtype=np.int64) <= limit
-            x, y = x[near], y[near]
+        if near is not None and len(x):
+            ok = near(x, y)
+            x, y = x[ok], y[ok]
         new = [(i, j) for i, j in zip(x.tolist(), y.tolist(), strict=True) if forest.join(i, j)]
         if new:
             out += new
@@ -191,24 +195,9 @@ def spanning(forest: Forest, a: np.ndarray, b: np.ndarray, wide: np.ndarray | No
     return out
 
 
-def across(tree: np.ndarray, a: np.ndarray, b: np.ndarray, wide: np.ndarray, limit: int) -> list[tuple[int, int]]:
-    """Those of the pairs that are of two trees and within the limit."""
-    out = []
-    for k in range(0, len(a), SLICE):
-        x, y = a[k : k + SLICE], b[k : k + SLICE]
-        apart = tree[x] != tree[y]
-        x, y = x[apart], y[apart]
-        near = np.bitwise_count(wide[x] ^ wide[y]).sum(axis=1, dtype=np.int64) <= limit
-        out += zip(x[near].tolist(), y[near].tolist(), strict=True)
-    return out
-
-
-def bucket_links(
-    fp: np.ndarray, group: np.ndarray, side: np.ndarray, radius: int = RADIUS, wide: np.ndarray | None = None, limit: int = 0, tight: int | None = None, tree: np.ndarray | None = None, room: int = 1 << 15
-) -> np.ndarray:
+def bucket_links(fp: np.ndarray, group: np.ndarray, side: np.ndarray, radius: int = RADIUS, near: Near | None = None, room: int = 1 << 15) -> np.ndarray:
     """Links (i, j) that span what is linked in each group. group: ascending; side: 2 if a row is on both sides, else 0 or 1;
-    rows of side 0 are compared with those of side 1. wide: rows that linked pairs have within the limit, too; what is
-    within `tight` (if it's given) is taken before the rest. tree: all pairs of different trees, not only a spanning part."""
+    rows of side 0 are compared with those of side 1. near: what pairs within the radius must fulfil too."""
     cut = np.flatnonzero(np.diff(group)) + 1
     starts, ends = np.concatenate([[0], cut]), np.concatenate([cut, [len(fp)]])
     order, words, first, filled = [], 0, [], []
@@ -224,7 +213,7 @@ def bucket_links(
     left = np.flatnonzero(side != 1)
     each = np.array(filled)[which[left]]
     offsets = np.concatenate([[0], np.cumsum(each)])
-    forest, out, rest, i = Forest(len(fp)), [], [], 0
+    forest, out, i = Forest(len(fp)), [], 0
     while i < len(left):
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + room, "right")) - 1)
         q = np.repeat(left[i:j], each[i:j])
@@ -235,22 +224,42 @@ def bucket_links(
             row, bit = np.nonzero(bits)
             a, b = q[at[row]], lane[w[at[row]] * 64 + bit]
             ok = (b >= 0) & (a != b)
-            a, b = a[ok], b[ok]
-            if tree is not None:
-                once = (a < b) | (side[a] != 2)
-                out += across(tree, a[once], b[once], wide, limit)
-            elif tight is None:
-                out += spanning(forest, a, b, wide, limit)
-            else:
-                out += spanning(forest, a, b, wide, tight)
-                rest += across(forest.labels(), a, b, wide, limit)
+            out += spanning(forest, a[ok], b[ok], near)
         i = j
-    if rest:
-        a, b = np.array(rest, np.int64).T
-        out += spanning(forest, a, b, wide, limit)
     return np.array(out, np.int64).reshape(-1, 2)
 
 
+class Sets:
+    """Sets of 64-bit numbers, as bytes; which pairs have a Jaccard similarity."""
+
+    def __init__(self, items: list[bytes], similarity: float):
+        self.size = np.array([len(x) // 8 for x in items], np.int64)
+        self.end = np.cumsum(self.size)
+        numbers, self.flat = np.unique(np.frombuffer(b"".join(items), np.uint64), return_inverse=True)
+        self.mark, self.least = np.zeros(len(numbers), bool), Fraction(str(similarity))
+
+    def near(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether the sets x and y have the similarity, exactly. The numbers of one set are marked, then those of all its
+        partners looked up, some millions at a time."""
+        up, down = self.least.numerator, self.least.denominator
+        a, b = self.size[x], self.size[y]
+        out, todo = np.zeros(len(x), bool), np.flatnonzero(np.minimum(a, b) * down >= up * np.maximum(a, b))
+        todo = todo[np.argsort(x[todo], kind="stable")]
+        for own in np.split(todo, np.flatnonzero(np.diff(x[todo])) + 1) if len(todo) else ():
+            i = x[own[0]]
+            marked = self.flat[self.end[i] - self.size[i] : self.end[i]]
+            self.mark[marked] = True
+            step = max(1, (1 << 22) // max(1, int(b[own].max())))
+            for k in range(0, len(own), step):
+                part = own[k : k + step]
+                hit = self.mark[np.concatenate([self.flat[self.end[j] - self.size[j] : self.end[j]] for j in y[part].tolist()])]
+                sums, ends = np.concatenate([[0], np.cumsum(hit)]), np.cumsum(b[part])
+                both = sums[ends] - sums[ends - b[part]]
+                out[part] = both * down >= up * (a[part] + b[part] - both)
+            self.mark[marked] = False
+        return out
+
+
 def block_count(n: int, radius: int = RADIUS) -> int:
     """The number of blocks with the least work for n fingerprints: a key's row costs about as much as comparing with 7 words
     of 64 fingerprints."""
@@ -279,11 +288,12 @@ def links(distinct: DataFrame, radius: int = RADIUS, blocks: int | None = None,
     return searched(keys, radius, limit)
 
 
-def searched(keys: DataFrame, radius: int = RADIUS, limit: int = 0, tight: int | None = None) -> DataFrame:
-    """a, b: links of bucket_links() between the nodes of each bucket (t, key). keys: node, fp, t, key, tiles (into how many
-    tiles the bucket is cut), perhaps wide and tree."""
-    sig = [c for c in ("fp", "wide", "tree") if c in keys.columns]
-    own = F.pmod(F.xxhash64(*sig, "t"), F.col("tiles")).cast("int")
+def searched(keys: DataFrame, radius: int = RADIUS, limit: int = 0, similarity: float | None = None) -> DataFrame:
+    """a, b: links that span what is linked in each bucket (t, key). keys: node, fp, t, key, tiles (into how many tiles the
+    bucket is cut); perhaps wide, of which `limit` bits may differ, and items (sorted 64-bit numbers), whose Jaccard
+    similarity must then be `similarity` or more. Pairs are judged where they are met; only spanning links come out."""
+    sig = [c for c in ("fp", "wide", "items") if c in keys.columns]
+    own = F.pmod(F.xxhash64(*[c for c in sig if c != "items"], "t"), F.col("tiles")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda o: F.struct(F.least(own, o).alias("x"), F.greatest(own, o).alias("y"), F.when(own == o, 2).when(own < o, 0).otherwise(1).alias("side")))
     dealt = keys.select("node", *sig, "t", "key", F.explode(pairs).alias("p")).select("node", *sig, "t", "key", F.col("p.x").alias("x"), F.col("p.y").alias("y"), F.col("p.side").alias("side"))
     dealt = dealt.repartition("t", "key", "x", "y").sortWithinPartitions("t", "key", "x", "y", "fp")
@@ -298,9 +308,18 @@ def searched(keys: DataFrame, radius: int = RADIUS, limit: int = 0, tight: int |
         many = np.bincount(group)[group] > 1
         node, found = col("node")[many], np.empty((0, 2), np.int64)
         if many.any():
-            wide = np.frombuffer(b"".join(part.column("wide").filter(pa.array(many)).to_pylist()), np.uint64).reshape(len(node), -1) if "wide" in sig else None
-            tree = col("tree")[many] if "tree" in sig else None
-            found = bucket_links(col("fp")[many].view(np.uint64), group[many], col("side")[many], radius, wide, limit, tight, tree)
+            held = lambda c: part.column(c).filter(pa.array(many)).to_pylist()
+            near, wide = None, np.frombuffer(b"".join(held("wide")), np.uint64).reshape(len(node), -1) if "wide" in sig else None
+            if wide is not None:
+                sets = Sets(held("items"), similarity) if "items" in sig else None
+
+                def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+                    ok = np.bitwise_count(wide[x] ^ wide[y]).sum(axis=1, dtype=np.int64) <= limit
+                    if sets:
+                        ok[ok] = sets.near(x[ok], y[ok])
+                    return ok
+
+            found = bucket_links(col("fp")[many].view(np.uint64), group[many], col("side")[many], radius, near)
         return pa.RecordBatch.from_arrays([pa.array(node[found[:, 0]]), pa.array(node[found[:, 1]])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

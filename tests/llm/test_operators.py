@@ -566,13 +566,13 @@ def test_near_copies(spark, docs, empty, tile):
     every = [x.text for x in docs.collect()] + [" ".join(t) for t in many]
     table = spark.createDataFrame(list(enumerate(every)), "doc_id long, text string")
     roots, pairs = brute_jaccard(every)
-    got = {x.doc_id: x for x in near_copies.near_copies(table, tile=tile).collect()}
+    got = {x.doc_id: x for x in near_copies.near_copies(table, tile=tile, family=tile).collect()}
     assert len(pairs) > 60 and {i: x.component_id for i, x in got.items()} == dict(enumerate(roots))
     assert all(x.first == (i == roots[i]) for i, x in got.items())
     assert near_copies.near_copies(empty).count() == 0
     alone = " ".join(f"alone{i}" for i in range(30))
     more = table.union(spark.createDataFrame([(None, every[0]), (None, alone), (None, alone + " end"), (None, alone)], table.schema))
-    out = near_copies.near_copies(more, tile=tile).collect()
+    out = near_copies.near_copies(more, tile=tile, family=tile).collect()
     assert {x.doc_id: x.component_id for x in out if x.doc_id is not None} == {i: x.component_id for i, x in got.items()}
     lone = [x for x in out if x.doc_id is None]
     assert sorted((x.component_id is None, x.first) for x in lone)[:1] == [(False, False)] and len({x.rk for x in lone if x.first}) == 1
