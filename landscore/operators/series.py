@@ -7,26 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import INF, finite, mean4, rint
-
-
-def year_bounds(annual: DataFrame) -> tuple[int, int]:
-    """First and last year present. The one small number that the plan needs from the driver."""
-    r = annual.agg(F.min("year"), F.max("year")).first()
-    if r[0] is None:
-        raise ValueError("no years")
-    return r[0], r[1]
-
-
-def densify(annual: DataFrame, years: tuple[int, int] | None = None, fill: float | None = None) -> DataFrame:
-    """All years of the span for each uid; missing values are null, or `fill`. One shuffle on uid: a uid's rows are
-    gathered into a map of its years (a bounded number), which is laid out again."""
-    first, last = years or year_bounds(annual)
-    span = annual.where(F.col("uid").isNotNull() & F.col("year").between(first, last))
-    by_uid = span.groupBy("uid").agg(F.map_from_entries(F.collect_list(F.struct("year", "value"))).alias("m"))
-    out = by_uid.select("uid", "m", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("year"))
+from ..functions.scalar import INF, finite, mean4, rint, water_year
+
+
+def densify(annual: DataFrame, years: tuple[int, int] | None = None, fill: float | None = None, keys: Sequence[str] = ("uid",)) -> DataFrame:
+    """All years of the span for each series; missing values are null, or `fill`. Series are told apart by keys, of which the
+    first is dealt out by: what follows on that key needs no further shuffle. A series' rows are gathered into a map of its
+    years (a bounded number), which is laid out again. Without `years` the span is that of the whole table, from a one-row
+    aggregate inside the plan."""
+    known = annual.where(" and ".join(f"`{k}` is not null" for k in keys))
+    if years:
+        known = known.where(F.col("year").between(*years))
+    dealt = known.repartition(keys[0]) if len(keys) > 1 else known
+    by_key = dealt.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("year", "value"))).alias("m"))
+    if years:
+        by_key = by_key.withColumns({"_first": F.lit(years[0]), "_last": F.lit(years[1])})
+    else:
+        bounds = annual.agg(F.min("year").alias("_first"), F.max("year").alias("_last"))
+        by_key = by_key.crossJoin(F.broadcast(bounds))  # bounds is one row
+    out = by_key.select(*keys, "m", F.explode(F.sequence("_first", "_last")).alias("year"))
     value = F.try_element_at("m", F.col("year"))
-    return out.select("uid", "year", (F.coalesce(value, F.lit(fill)) if fill is not None else value).alias("value"))
+    return out.select(*keys, "year", (F.coalesce(value, F.lit(fill)) if fill is not None else value).alias("value"))
 
 
 def baseline_stats(dense: DataFrame, drought: Sequence[int] = ()) -> DataFrame:
@@ -46,11 +47,11 @@ def rounded(dense: DataFrame) -> DataFrame:
     return dense.withColumn("value", rint(F.col("value"), 4))
 
 
-def standardised(dense: DataFrame, drought: Sequence[int] = (), nobaseline: bool = False) -> DataFrame:
+def standardised(dense: DataFrame, drought: Sequence[int] = (), nobaseline: bool = False, keys: Sequence[str] = ("uid",)) -> DataFrame:
     """(value - baseline) / stddev; missing as 0, no spread and another value as infinity. nobaseline: the values."""
     if nobaseline:
         return dense.withColumn("value", F.coalesce("value", F.lit(0.0)))
-    per_uid = Window.partitionBy("uid")
+    per_uid = Window.partitionBy(*keys)
     v = F.when(~F.col("year").isin(list(drought)), F.col("value")) if drought else F.col("value")
     whole = F.rint(v * 10000).cast("long")
     mean = F.rint(F.try_divide(F.sum(whole).over(per_uid).cast("double"), F.count(v).over(per_uid).cast("double"))) / 10000.0
@@ -71,29 +72,31 @@ def slope(values: Sequence[Column]) -> Column:
     return rint(total / (k * ((k * k - 1) / 12) ** 0.5), 4)
 
 
-def moving_ave_trend(z: DataFrame, window: int = 5, trend: int | None = None) -> DataFrame:
-    """uid, year, ave, trend, sum: mean of the `window` years up to a year, slope of the last `trend` of them, and both
+def moving_ave_trend(z: DataFrame, window: int = 5, trend: int | None = None, keys: Sequence[str] = ("uid",)) -> DataFrame:
+    """keys, year, ave, trend, sum: mean of the `window` years up to a year, slope of the last `trend` of them, and both
     added. Only years with a whole window; a window of one has no trend and no sum. z: dense, without nulls."""
     t = window if trend is None else trend
     if t > window:
         raise ValueError("the trend can't be longer than the window")
-    by_year = Window.partitionBy("uid").orderBy("year")
+    by_year = Window.partitionBy(*keys).orderBy("year")
     back = [F.lag("value", k).over(by_year) for k in reversed(range(t))] if t > 1 else []
     out = z.withColumn("ave", F.avg("value").over(by_year.rowsBetween(-(window - 1), 0))).withColumn("_n", F.row_number().over(by_year))
     tr = finite(slope(back)) if window > 1 else F.lit(None).cast("double")
     out = out.withColumn("trend", tr).where(F.col("_n") >= window)
     both = F.coalesce("ave", F.lit(0.0)) + F.coalesce("trend", F.lit(0.0)) if window > 1 else F.lit(None).cast("double")
-    return out.select("uid", "year", "ave", "trend", both.alias("sum"))
+    return out.select(*keys, "year", "ave", "trend", both.alias("sum"))
 
 
-def deviation_from_baseline(annual: DataFrame, window: int = 5, trend: int | None = 2, nobaseline: bool = False, drought: Sequence[int] = ()) -> DataFrame:
-    """Annual values to ave, trend and sum per uid and year. Densify, standardise and window share one shuffle on uid."""
-    return moving_ave_trend(standardised(rounded(densify(annual)), drought, nobaseline), window, trend)
+def deviation_from_baseline(annual: DataFrame, window: int = 5, trend: int | None = 2, nobaseline: bool = False, drought: Sequence[int] = (), years: tuple[int, int] | None = None, keys: Sequence[str] = ("uid",)) -> DataFrame:
+    """Annual values to ave, trend and sum per series and year. Densify, standardise and window share one shuffle."""
+    dense = rounded(densify(annual, years, keys=keys))
+    return moving_ave_trend(standardised(dense, drought, nobaseline, keys), window, trend, keys)
 
 
-def long_measures(wide: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """(keys, measure, value) from columns."""
-    return wide.unpivot(list(keys), list(measures), "measure", "value")
+def water_year_annual(monthly: DataFrame, start_month: int = 7) -> DataFrame:
+    """uid, year, value: means over water years, each named after the year in which it ends. monthly: uid, year, month, value."""
+    year = water_year(F.col("year"), F.col("month"), start_month)
+    return monthly.groupBy("uid", year.alias("year")).agg(F.avg("value").alias("value"))
 
 
 def harmonise_sensors(sensors: Sequence[DataFrame], method: str = "minmax") -> DataFrame:
@@ -128,7 +131,3 @@ def r_squared(df: DataFrame, y: str, fitted: str) -> DataFrame:
     d = df.where(F.col(y).isNotNull() & F.col(fitted).isNotNull())
     a = d.agg(F.sum((F.col(y) - F.col(fitted)) ** 2).alias("e"), F.var_pop(y).alias("v"), F.count("*").alias("n"))
     return a.select((1 - F.try_divide(F.col("e"), F.col("v") * F.col("n"))).alias("r2"))
-
-
-def baseline_years(years: Sequence[int], drought: Sequence[int]) -> list[int]:
-    return [y for y in years if y not in set(drought)]

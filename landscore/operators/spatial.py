@@ -90,25 +90,48 @@ def inside(rings: list[np.ndarray], x: float, y: float) -> bool:
 def edges_meet(p: list[np.ndarray], q: list[np.ndarray]) -> bool:
     """Whether some edge of p and some edge of q have a point in common."""
     a, b = np.concatenate([r[:-1] for r in p]), np.concatenate([r[1:] for r in p])
-    for ring in q:
-        for c, d in zip(ring[:-1], ring[1:], strict=True):
-            side = lambda o, u, v: (u[..., 0] - o[..., 0]) * (v[..., 1] - o[..., 1]) - (u[..., 1] - o[..., 1]) * (v[..., 0] - o[..., 0])
-            s1, s2, s3, s4 = side(a, b, c), side(a, b, d), side(c, d, a), side(c, d, b)
-            boxes = (np.minimum(a, b) <= np.maximum(c, d)).all(1) & (np.maximum(a, b) >= np.minimum(c, d)).all(1)
-            if (boxes & (s1 * s2 <= 0) & (s3 * s4 <= 0)).any():
+    c, d = np.concatenate([r[:-1] for r in q]), np.concatenate([r[1:] for r in q])
+    side = lambda o, u, v: (u[..., 0] - o[..., 0]) * (v[..., 1] - o[..., 1]) - (u[..., 1] - o[..., 1]) * (v[..., 0] - o[..., 0])
+    step = max(1, (1 << 18) // max(1, len(c)))
+    for i in range(0, len(a), step):
+        u, v = a[i : i + step, None], b[i : i + step, None]
+        near = (np.minimum(u, v) <= np.maximum(c, d)).all(2) & (np.maximum(u, v) >= np.minimum(c, d)).all(2)
+        if near.any():
+            m, n = np.nonzero(near)
+            u, v, e, f = a[i + m], b[i + m], c[n], d[n]
+            if ((side(u, v, e) * side(u, v, f) <= 0) & (side(e, f, u) * side(e, f, v) <= 0)).any():
                 return True
     return False
 
 
-def polygons_meet(p: bytes, q: bytes) -> bool:
-    """Edges that cross or touch, or one inside the other."""
-    a, b = polygon_rings(p), polygon_rings(q)
+def polygons_meet(a: list[np.ndarray], b: list[np.ndarray]) -> bool:
+    """Edges that cross or touch, or one inside the other. a, b: of polygon_rings()."""
     return edges_meet(a, b) or inside(b, *a[0][0]) or inside(a, *b[0][0])
 
 
+@F.pandas_udf(T.BinaryType())
+def wkb_ring(flat: pd.Series) -> pd.Series:
+    """A polygon of one closed ring x, y, x, y ..."""
+    return pd.Series([wkb_polygon([np.asarray(f, float).reshape(-1, 2).tolist()]) for f in flat])
+
+
 @F.pandas_udf(T.BooleanType())
 def meets(p: pd.Series, q: pd.Series) -> pd.Series:
-    return pd.Series([polygons_meet(bytes(x), bytes(y)) for x, y in zip(p, q, strict=True)])
+    held: dict[bytes, list[np.ndarray]] = {}
+
+    def rings(w: bytes) -> list[np.ndarray]:
+        if w not in held:
+            held[w] = polygon_rings(w)
+        return held[w]
+
+    return pd.Series([polygons_meet(rings(bytes(x)), rings(bytes(y))) for x, y in zip(p, q, strict=True)])
+
+
+def buffered(df: DataFrame, radius: float, segments: int = 64) -> DataFrame:
+    """Points (x, y) with geometry: the circle around each as a polygon of so many corners on it."""
+    turn = [2 * math.pi * i / segments for i in range(segments)] + [0.0]
+    flat = F.array(*[e for a in turn for e in (F.col("x") + radius * math.cos(a), F.col("y") + radius * math.sin(a))])
+    return df.withColumn("geometry", wkb_ring(flat))
 
 
 @F.pandas_udf(T.StructType([T.StructField(c, T.DoubleType()) for c in ("xmin", "ymin", "xmax", "ymax")]))

@@ -25,16 +25,34 @@ def area_weighted(long: DataFrame, bridge: DataFrame, unit_cols: Sequence[str],
     return out.select(*keys, "year", "measure", "value", "area")
 
 
+def area_weighted_measures(wide: DataFrame, bridge: DataFrame, keys: Sequence[str], measures: Sequence[str], digits: int = 4, identity: bool = False) -> DataFrame:
+    """area_weighted() of several measures at once, which stay columns until they are summed: the join carries each uid and
+    year once. wide: uid, year, measures and perhaps some of the keys; bridge: uid, the other keys, area. Gives keys, year,
+    measure, value, area; with identity uid, keys, year, measure, value, area."""
+    joined = wide.join(bridge, "uid")
+    if identity:
+        out = joined.select("uid", *keys, "year", "area", *[finite(F.col(m)).alias(m) for m in measures])
+        return out.unpivot(["uid", *keys, "year", "area"], list(measures), "measure", "value")
+    g = joined.dropna(subset=list(keys)).groupBy(*keys, "year") if keys else joined.groupBy("year")
+    mean = lambda m: steady(F.try_divide(sum0(finite(F.col(m)) * F.col("area")), F.sum("area")), digits)
+    out = g.agg(*[mean(m).alias(m) for m in measures], F.sum("area").alias("area"))
+    return out.unpivot([*keys, "year", "area"], list(measures), "measure", "value").select(*keys, "year", "measure", "value", "area")
+
+
 def time_since_last(events: DataFrame, finals: DataFrame, years: Sequence[int]) -> DataFrame:
     """uid, year, tsli: whole days from the end of the last event begun before 31 December to that day (or the uid's final
     date, if earlier); null without such an event. A missing end never is the last. events: uid, start_time, end_time;
     finals: uid, final_date."""
-    spine = F.explode(F.array(*[F.lit(int(y)) for y in years]))
-    e = events.withColumn("year", spine).withColumn("cutoff", last_day(F.col("year")))
-    end = F.when((F.col("start_time") < F.col("cutoff")) & F.col("end_time").isNotNull(), F.least("end_time", "cutoff"))
-    last = e.groupBy("uid", "year").agg(F.max(end).alias("end"))
-    out = finals.withColumn("year", spine).join(last, ["uid", "year"], "left")
-    return out.select("uid", "year", whole_days(F.least("final_date", last_day(F.col("year"))), F.col("end")).alias("tsli"))
+    spine = F.array(*[F.lit(int(y)) for y in sorted(years)])
+    #: Every event counts from some year on, so a unit keeps one latest end for each such year, not a copy of each event a year.
+    first = F.get(F.filter(spine, lambda y: F.col("start_time") < last_day(y)), F.lit(0))
+    ends = events.where("end_time is not null").groupBy("uid", first.alias("first")).agg(F.max("end_time").alias("end")).where("first is not null")
+    marks = ends.groupBy("uid").agg(F.collect_list(F.struct("first", "end")).alias("marks"))  # one entry a year at most
+    out = finals.join(marks, "uid", "left").withColumn("year", F.explode(spine))
+    known = F.filter("marks", lambda m: m["first"] <= F.col("year"))
+    end = F.least(F.array_max(F.transform(known, lambda m: m["end"])), last_day(F.col("year")))
+    until = F.least("final_date", last_day(F.col("year")))
+    return out.select("uid", "year", F.when(F.size(known) > 0, whole_days(until, end)).alias("tsli"))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
@@ -69,13 +87,20 @@ def normalise_global(df: DataFrame, column: str, digits: int | None = None) -> D
     return df.crossJoin(F.broadcast(g)).withColumn(column, rint(x, digits) if digits is not None else x).drop("_lo", "_hi")  # g is one row
 
 
-def vulnerability(cond_parts: DataFrame, stress_parts: DataFrame, keys: Sequence[str], k: int = 3) -> DataFrame:
-    """keys, cond, stress, vul. Parts: keys, score."""
-    cond, stress = sum_rescale(cond_parts, keys, k), sum_rescale(stress_parts, keys, k)
-    both = cond.withColumn("m", F.lit("cond")).unionByName(stress.withColumn("m", F.lit("stress")))
-    wide = both.groupBy(*keys).agg(F.max(F.when(F.col("m") == "cond", F.col("value"))).alias("cond"), F.max(F.when(F.col("m") == "stress", F.col("value"))).alias("stress"))
+def vulnerability(parts: DataFrame, keys: Sequence[str], k: int = 3, within: Sequence[str] = ()) -> DataFrame:
+    """keys, cond, stress, vul. parts: keys, kind (cond or stress), score; both sides come from one aggregate. within: keys
+    (a small number of values) of the tables that are each scaled to 0..1 by themselves."""
+    side = lambda kind: F.when(F.col("kind") == kind, F.col("score"))
+    rescaled = lambda s, n: rint(F.try_divide(F.col(s) - F.col(n), F.col(n) * k - F.col(n)), 1)
+    sums = [e for c in ("cond", "stress") for e in (sum0(side(c)).alias(f"_s_{c}"), F.count(side(c)).alias(f"_n_{c}"))]
+    wide = parts.dropna(subset=list(keys)).groupBy(*keys).agg(*sums)
+    wide = wide.select(*keys, rescaled("_s_cond", "_n_cond").alias("cond"), rescaled("_s_stress", "_n_stress").alias("stress"))
     wide = wide.withColumn("vul", F.coalesce("cond", F.lit(0.0)) + F.coalesce("stress", F.lit(0.0)))
-    return normalise_global(wide, "vul", 1)
+    if not within:
+        return normalise_global(wide, "vul", 1)
+    g = wide.groupBy(*within).agg(F.min("vul").alias("_lo"), F.max("vul").alias("_hi"))
+    scaled = rint(F.try_divide(F.col("vul") - F.col("_lo"), F.col("_hi") - F.col("_lo")), 1)
+    return wide.join(g, list(within)).withColumn("vul", scaled).select(*keys, "cond", "stress", "vul")
 
 
 def select_scores(long: DataFrame, measure: str, years: Sequence[int]) -> DataFrame:

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from ..config import BIRD_HABITATS, HABITAT_DAYS, TYPE_RULES, VEGETATION_DAYS
 from ..functions.scalar import classify, rint, score, water_year
 from ..operators import series, spatial, units
-from .pipelines import SOIL_BINS, metric_pipeline
+from ..sources import sinks
+from .pipelines import SOIL_BINS, all_units, metric_pipeline
 
 DROUGHT, YEARS = (1998, 1999), tuple(range(1995, 2002))
 TYPES = ("River red gum swamp", "Temporary forb marsh", "River Red Gum woodland clay pan", "Black box forest", "Freshwater meadow", "Lignum shrubland", "Open plain", "Permanent lake", "F2.4: Shrubland riparian zone or floodplain", "Coolibah woodland", "Tall emergent marsh", "Cooba stand", "river red gum woodland")
@@ -131,11 +132,19 @@ z{n} AS (SELECT uid, year, CASE WHEN sd = 0 AND value <> b THEN CASE WHEN value
   ELSE coalesce((value - b) / nullif(sd, 0), 0) END + 0.0 AS value FROM dense{n} JOIN b{n} USING (uid))"""
 
 
-def a_dev(n: str = "", window: int = 5) -> str:
+def _slope(k: int) -> str:
+    """The sum of (place - mean place) times value over the last k values, over k deviations of the places."""
+    if k == 2:
+        return "(value - lag(value) OVER o) / 2"
+    terms = " + ".join(f"({i - (k - 1) / 2}) * lag(value, {k - 1 - i}) OVER o" for i in range(k))
+    return f"({terms}) / {k * ((k * k - 1) / 12) ** 0.5!r}"
+
+
+def a_dev(n: str = "", window: int = 5, trend: int = 2) -> str:
     if window == 1:
         return f"dev{n} AS (SELECT uid, year, value AS ave, CAST(NULL AS DOUBLE) AS trend, CAST(NULL AS DOUBLE) AS sum FROM z{n})"
     return f"""w{n} AS (SELECT uid, year, avg(value) OVER (PARTITION BY uid ORDER BY year ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW) AS ave,
-  {R4(f'(value - lag(value) OVER o) / 2')} AS tr, row_number() OVER o AS k FROM z{n} WINDOW o AS (PARTITION BY uid ORDER BY year)),
+  {R4(_slope(trend))} AS tr, row_number() OVER o AS k FROM z{n} WINDOW o AS (PARTITION BY uid ORDER BY year)),
 dev{n} AS (SELECT uid, year, ave, t AS trend, coalesce(ave, 0) + coalesce(t, 0) AS sum
   FROM (SELECT *, CASE WHEN isfinite(tr) THEN tr END AS t FROM w{n} WHERE k >= {window}))"""
 
@@ -375,12 +384,18 @@ def _parts_sql() -> str:
     return f"WITH {POLY}, {front}, cond AS ({each('q')} UNION ALL {each('p')}), stress AS ({each('d')} UNION ALL {each('x')})"
 
 
-def _parts(spark: SparkSession, d: str, which: slice) -> DataFrame:
-    out = []
-    for _, c, s in METRICS[which]:
-        p = metric_pipeline(metric(spark, d, c, s), polygons(spark, d), ("p_brand",), drought=DROUGHT).where("measure = 'sum'")
-        out.append(p.select("p_brand", "grp", "year", "score"))
-    return out[0].unionByName(out[1])
+def _metrics(spark: SparkSession, d: str) -> DataFrame:
+    """uid, metric, year, value of all metrics, from one scan and one aggregate."""
+    whole = {n: F.rint(F.col(c) * s).cast("long") for n, c, s in METRICS}
+    g = t(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("uid"), F.year("l_shipdate").alias("year"))
+    wide = g.agg(*[(F.sum(v).cast("double") / F.count(v)).alias(n) for n, v in whole.items()])
+    return wide.unpivot(["uid", "year"], list(whole), "metric", "value")
+
+
+def _parts(spark: SparkSession, d: str) -> DataFrame:
+    """p_brand, grp, year, kind, score: two metrics are parts of the condition, two of the stress."""
+    out = metric_pipeline(_metrics(spark, d), polygons(spark, d), ("p_brand",), drought=DROUGHT, metric="metric").where("measure = 'sum'")
+    return out.select("p_brand", "grp", "year", F.when(F.col("metric").isin("q", "p"), "cond").otherwise("stress").alias("kind"), "score")
 
 
 KEYS = ["p_brand", "grp", "year"]
@@ -389,14 +404,14 @@ _RESCALE = "SELECT p_brand, grp, year, " + R1("(coalesce(sum(score), 0) - count(
 
 @query(f"{_parts_sql()} {_RESCALE.format('cond')}")
 def sum_rescale(spark: SparkSession, d: str) -> DataFrame:
-    return units.sum_rescale(_parts(spark, d, slice(0, 2)), KEYS)
+    return units.sum_rescale(_parts(spark, d).where("kind = 'cond'"), KEYS)
 
 
 @query(f"""{_parts_sql()}, c AS ({_RESCALE.format('cond')}), s AS ({_RESCALE.format('stress')}),
 v AS (SELECT p_brand, grp, year, c.value AS cond, s.value AS stress, coalesce(c.value, 0) + coalesce(s.value, 0) AS v FROM c FULL JOIN s USING (p_brand, grp, year))
 SELECT p_brand, grp, year, cond, stress, {R1('(v - min(v) OVER ()) / nullif(max(v) OVER () - min(v) OVER (), 0)')} AS vul FROM v""")
 def vulnerability(spark: SparkSession, d: str) -> DataFrame:
-    return units.vulnerability(_parts(spark, d, slice(0, 2)), _parts(spark, d, slice(2, 4)), KEYS)
+    return units.vulnerability(_parts(spark, d), KEYS)
 
 
 @query(f"{FRONT}, u AS ({weighted(BRAND)}) SELECT p_brand, grp, year, measure, {R4('(value - min(value) OVER ()) / nullif(max(value) OVER () - min(value) OVER (), 0)')} AS value FROM u")
@@ -510,3 +525,94 @@ def wide_pivot(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {a_annual()}, {a_dense()} SELECT uid, year, coalesce(value, 0) AS value FROM dense")
 def infill_years(spark: SparkSession, d: str) -> DataFrame:
     return series.rounded(series.densify(metric(spark, d), fill=0.0))
+
+
+@query(f"WITH {a_annual()}, {a_dense()}, {a_z()}, {a_dev(trend=3)} SELECT uid, year, {FIN4('ave')} AS ave, trend, {FIN4('sum')} AS sum FROM dev")
+def deviation_trend_3(spark: SparkSession, d: str) -> DataFrame:
+    """A slope through three years."""
+    from ..functions.scalar import finite
+
+    out = series.deviation_from_baseline(metric(spark, d), 5, 3, drought=DROUGHT)
+    return out.withColumns({"ave": rint(finite(F.col("ave")), 4), "sum": rint(finite(F.col("sum")), 4)})
+
+
+_AGG = f"""{POLY}, {OVER}, bridge AS (SELECT uid, 'brand' AS agg, p_brand AS unit, grp, area FROM poly WHERE grp IS NOT NULL
+UNION ALL SELECT uid, 'brand and type', p_type || '/' || p_brand, grp, area FROM poly WHERE grp IS NOT NULL
+UNION ALL SELECT uid, 'nation', unit, grp, area FROM over_ WHERE grp IS NOT NULL UNION ALL SELECT uid, 'basin', '', grp, area FROM poly WHERE grp IS NOT NULL)"""
+
+
+def _every_unit(spark: SparkSession, d: str) -> DataFrame:
+    p = polygons(spark, d)
+    return all_units({"brand": (p, ("p_brand",)), "brand and type": (p, ("p_type", "p_brand")), "nation": (overlapping(spark, d), ("unit",)), "basin": (p, ())})
+
+
+@query(f"WITH {a_annual()}, {a_dense()}, {a_z()}, {a_dev()}, {a_long()}, {_AGG}, u AS ({weighted(('agg', 'unit', 'grp'), 'bridge')}) SELECT agg, unit, grp, year, measure, value, area, {scored()} AS score FROM u")
+def multi_aggregator(spark: SparkSession, d: str) -> DataFrame:
+    """All ways to sum up in one pass."""
+    out = metric_pipeline(metric(spark, d), _every_unit(spark, d), ("agg", "unit"), drought=DROUGHT)
+    return out.withColumn("unit", F.array_join("unit", "/"))
+
+
+def _every_part(spark: SparkSession, d: str) -> DataFrame:
+    """agg, unit, grp, year, kind, score, with the weighted score of the time since the last event as a part of the stress."""
+    bridge = _every_unit(spark, d)
+    out = metric_pipeline(_metrics(spark, d), bridge, ("agg", "unit"), drought=DROUGHT, metric="metric").where("measure = 'sum'")
+    parts = out.select("agg", "unit", "grp", "year", F.when(F.col("metric").isin("q", "p"), "cond").otherwise("stress").alias("kind"), "score")
+    e = t(spark, d, "lineitem").select(F.col("l_partkey").alias("uid"), F.col("l_shipdate").cast("timestamp_ntz").alias("start_time"), F.col("l_shipdate").cast("timestamp_ntz").alias("end_time"))
+    since = units.time_since_last(e, e.groupBy("uid").agg(F.max("end_time").alias("final_date")), YEARS)
+    tsli_score = units.score_by_group(since.join(bridge.select("uid", "grp").distinct(), "uid"), "tsli", thresholds(spark, VEGETATION_DAYS))
+    dry = units.area_weighted_measures(tsli_score.select("uid", "year", "sc_tsli"), bridge, ("agg", "unit", "grp"), ["sc_tsli"], digits=1)
+    return parts.unionByName(dry.select("agg", "unit", "grp", "year", F.lit("stress").alias("kind"), F.col("value").alias("score")))
+
+
+def _final_sql() -> str:
+    front = ", ".join(f"{a_annual(c, s, f'annual{n}')}, {a_dense(n)}, {a_z(n)}, {a_dev(n)}, {a_long(n, ('sum',))}" for n, c, s in METRICS)
+    each = lambda n, kind: f"SELECT agg, unit, grp, year, '{kind}' AS kind, {scored()} AS score FROM ({weighted(('agg', 'unit', 'grp'), 'bridge', n=n)})"
+    last = """le AS (SELECT uid, year, max(least(e, make_timestamp(year, 12, 31, 0, 0, 0))) AS e FROM ev, ys WHERE e < make_timestamp(year, 12, 31, 0, 0, 0) GROUP BY uid, year),
+fin AS (SELECT uid, max(e) AS f FROM ev GROUP BY uid),
+ts AS (SELECT fin.uid, ys.year, CAST(floor((epoch_us(least(f, make_timestamp(ys.year, 12, 31, 0, 0, 0))) - epoch_us(le.e)) / 86400000000.0) AS INTEGER) AS tsli
+  FROM fin CROSS JOIN ys LEFT JOIN le ON le.uid = fin.uid AND le.year = ys.year)"""
+    dry = f"""ev AS (SELECT l_partkey AS uid, CAST(l_shipdate AS TIMESTAMP) AS e FROM lineitem), ys AS (SELECT CAST(unnest(range({YEARS[0]}, {YEARS[-1] + 1})) AS INTEGER) AS year), {last}, {_days(VEGETATION_DAYS)},
+longt AS (SELECT ts.uid, ts.year, 'sc_tsli' AS measure, CAST(CASE WHEN tsli >= t2 THEN 1 WHEN tsli >= t1 THEN 2 WHEN tsli >= t0 THEN 3 END AS DOUBLE) AS value FROM ts JOIN poly USING (uid) LEFT JOIN days ON days.grp = poly.grp)"""
+    dry_score = f"SELECT agg, unit, grp, year, 'stress' AS kind, value AS score FROM ({weighted(('agg', 'unit', 'grp'), 'bridge', n='t', digits=S1)})"
+    parts = " UNION ALL ".join([each("q", "cond"), each("p", "cond"), each("d", "stress"), each("x", "stress"), dry_score])
+    side = lambda k: R1(f"(coalesce(sum(score) FILTER (kind = '{k}'), 0) - count(score) FILTER (kind = '{k}')) / nullif(count(score) FILTER (kind = '{k}') * 3 - count(score) FILTER (kind = '{k}'), 0)")
+    final = f"""f AS (SELECT agg, unit, grp, year, {side('cond')} AS cond, {side('stress')} AS stress FROM parts GROUP BY ALL),
+v AS (SELECT *, coalesce(cond, 0) + coalesce(stress, 0) AS v FROM f),
+w AS (SELECT *, {R1('(v - min(v) OVER a) / nullif(max(v) OVER a - min(v) OVER a, 0)')} AS vul FROM v WINDOW a AS (PARTITION BY agg))"""
+    cols = ", ".join(f"max({k}) FILTER (year = {y}) AS {k}{y}" for k in ("cond", "stress", "vul") for y in YEARS)
+    return f"WITH {_AGG}, {front}, {dry}, parts AS ({parts}), {final} SELECT agg, unit, grp, {cols} FROM w GROUP BY agg, unit, grp"
+
+
+@query(_final_sql())
+def final_wide(spark: SparkSession, d: str) -> DataFrame:
+    """The final tables of all ways to sum up: a row a unit and group, cond, stress and vul of each year as columns."""
+    keys = ["agg", "unit", "grp", "year"]
+    long = units.vulnerability(_every_part(spark, d), keys, within=("agg",))
+    wide = sinks.wide_columns(long, ["agg", "unit", "grp"], ["cond", "stress", "vul"], YEARS)
+    return wide.withColumn("unit", F.array_join("unit", "/"))
+
+
+@query("""WITH m AS (SELECT o_custkey AS uid, CAST(year(o_orderdate) + CASE WHEN month(o_orderdate) > 6 THEN 1 ELSE 0 END AS INTEGER) AS year, o_orderkey % 100 AS v FROM orders)
+SELECT uid, year, round_even((CAST(sum(v) AS DOUBLE) / count(v)) * 10000, 0) / 10000 AS value FROM m GROUP BY uid, year""")
+def water_year_metric(spark: SparkSession, d: str) -> DataFrame:
+    """Monthly values as means of water years."""
+    o = t(spark, d, "orders").select(F.col("o_custkey").alias("uid"), F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), (F.col("o_orderkey") % 100).cast("double").alias("value"))
+    return series.rounded(series.water_year_annual(o))
+
+
+_DIAMOND = 2.0
+
+
+@query(f"""WITH {_PT}, bx AS (SELECT label, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM (SELECT * FROM pt WHERE id % 3 = 0) GROUP BY label)
+SELECT pt.id, bx.label AS box FROM pt JOIN bx ON greatest(x0 - x, 0, x - x1) + greatest(y0 - y, 0, y - y1) <= {_DIAMOND}""")
+def polygon_intersects(spark: SparkSession, d: str) -> DataFrame:
+    """Diamonds around all points that meet the boxes of labels, both as WKB polygons."""
+    p = points(spark, d)
+    x, y, r = F.col("x"), F.col("y"), F.lit(_DIAMOND)
+    diamond = F.array(x - r, y, x, y - r, x + r, y, x, y + r, x - r, y)
+    left = p.select("id", spatial.wkb_ring(diamond).alias("geometry"))
+    b = p.where("id % 3 = 0").groupBy("label").agg(F.min("x").alias("x0"), F.min("y").alias("y0"), F.max("x").alias("x1"), F.max("y").alias("y1"))
+    box = F.array("x0", "y0", "x1", "y0", "x1", "y1", "x0", "y1", "x0", "y0")
+    right = b.select(F.col("label").alias("box"), spatial.wkb_ring(box).alias("geometry"))
+    return spatial.spatial_join(left, right, 5.0).select("id", "box")

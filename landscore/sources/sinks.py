@@ -42,6 +42,12 @@ def wide_measures(long: DataFrame, keys: Sequence[str], metric: str, measures: S
     return long.groupBy(*keys).agg(*each)
 
 
+def wide_columns(long: DataFrame, keys: Sequence[str], columns: Sequence[str], years: Sequence[int]) -> DataFrame:
+    """Columns of (keys, year, columns) as one for each year, named column and year, in order of names."""
+    each = {f"{c}{y}": F.max(F.when(F.col("year") == int(y), F.col(c))) for c in columns for y in years}
+    return long.groupBy(*keys).agg(*[each[c].alias(c) for c in sorted(each)])
+
+
 def write_csv(df: DataFrame, path: str, single: bool = True) -> None:
     """Plain CSV with a header. single: one part file, for small results."""
     (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True).csv(path)
