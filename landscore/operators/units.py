@@ -31,7 +31,7 @@ def area_weighted_measures(wide: DataFrame, bridge: DataFrame, keys: Sequence[st
     measure, value, area; with identity uid, keys, year, measure, value, area."""
     joined = wide.join(bridge, "uid")
     if identity:
-        out = joined.select("uid", *keys, "year", "area", *[finite(F.col(m)).alias(m) for m in measures])
+        out = joined.select("uid", *keys, "year", "area", *[rint(finite(F.col(m)), digits).alias(m) for m in measures])
         return out.unpivot(["uid", *keys, "year", "area"], list(measures), "measure", "value")
     g = joined.dropna(subset=list(keys)).groupBy(*keys, "year") if keys else joined.groupBy("year")
     mean = lambda m: steady(F.try_divide(sum0(finite(F.col(m)) * F.col("area")), F.sum("area")), digits)

@@ -27,7 +27,10 @@ def final_file(aggregator: str) -> str:
 
 
 def measure_column(measure: str, metric: str, year: int) -> str:
-    """ave 1991 of NDVI: ndvi1991; its trend Tndvi1991, its sum sumndvi1991; scores have sc in front."""
+    """ave 1991 of NDVI: ndvi1991; its trend Tndvi1991, its sum sumndvi1991; scores have sc in front. Without a metric the
+    measure's own name: tsli1991, sc_tsli1991."""
+    if not metric:
+        return f"{measure}{year}"
     score, kind = measure.startswith("sc_"), measure.removeprefix("sc_")
     front = {"ave": "", "trend": "T", "sum": "sum"}.get(kind, kind)
     return f"{'sc' if score else ''}{front}{metric_name(metric)}{year}"

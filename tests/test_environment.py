@@ -183,3 +183,60 @@ def test_shapefile(spark, tmp_path):
     spark.dataSource.register(shapefile.ShapefileSource)
     r = spark.read.format("shapefile").load(str(tmp_path / "p.shp")).first()
     assert (r.UID, r.AREA) == ("r1", 2.5) and len(spatial.polygon_rings(bytes(r.geometry))[0]) == 5
+
+
+def write_shapefile(base, polygons, fields):
+    """polygons: (values, ring); fields: (name, kind, size, decimals)."""
+    shp, shx, at = b"", b"", 50
+    rows = b""
+    for k, (vals, ring) in enumerate(polygons):
+        flat = [c for p in ring for c in p]
+        body = struct.pack("<i4d2i", 5, 0, 0, 1, 1, 1, len(ring)) + struct.pack("<i", 0) + struct.pack(f"<{len(flat)}d", *flat)
+        shx += struct.pack(">2i", at, len(body) // 2)
+        shp += struct.pack(">2i", k + 1, len(body) // 2) + body
+        at += 4 + len(body) // 2
+        rows += b" " + b"".join((str(v).rjust(n) if kind == b"N" else str(v).ljust(n)).encode() for v, (_, kind, n, _) in zip(vals, fields, strict=True))
+    head = struct.pack(">7i", 9994, 0, 0, 0, 0, 0, 50) + struct.pack("<2i8d", 1000, 5, *[0.0] * 8)
+    base.with_suffix(".shp").write_bytes(head + shp)
+    base.with_suffix(".shx").write_bytes(head + shx)
+    dbf = struct.pack("<B3BIHH20x", 3, 24, 1, 1, len(polygons), 32 + 32 * len(fields) + 1, 1 + sum(f[2] for f in fields))
+    base.with_suffix(".dbf").write_bytes(dbf + b"".join(struct.pack("<11sc4xBB14x", *f) for f in fields) + b"\r" + rows)
+
+
+def test_whole_analysis(spark, tmp_path):
+    """Two polygons of a group in one site, of areas 1 and 3, from files to files."""
+    from landscore.config import AggregatorSpec, EngineConfig, MetricRun
+    from landscore.plans import analysis
+
+    wide = [(b"UID", b"C", 4, 0), (b"ANAE_TYPE", b"C", 20, 0), (b"Area_Ha", b"N", 8, 2)]
+    polys = [(("a", "Black box forest", 1.0), square(0, 0, 1)), (("b", "black box swamp", 3.0), square(2, 0, 1)), (("c", "sand", 9.0), square(4, 0, 1)), (("d", "Black box", 5.0), square(90, 0, 1))]
+    write_shapefile(tmp_path / "fine", polys, wide)
+    write_shapefile(tmp_path / "sites", [(("S", "W"), square(-1, -1, 6))], [(b"SITE", b"C", 4, 0), (b"PART", b"C", 4, 0)])
+    years = range(2000, 2006)
+    rows = [f"{u},{y},{v}" for u, vs in {"a": (1, 1, 1, 1, 1, 3), "b": (2, 4, 2, 4, 2, 4), "c": (1,) * 6, "zz": (5,) * 6}.items() for y, v in zip(years, vs)]
+    (tmp_path / "y.csv").write_text("feature_id,year,pv_median\n" + "\n".join(rows))
+    (tmp_path / "s.csv").write_text("UID,StdTime,MEAN\n" + "\n".join(f"{u},{y}-06-30,{v}" for u, v in (("a", 0.2), ("b", 0.6)) for y in years))
+    (tmp_path / "f.csv").write_text("feature_id,final-date\na,2005-12-31\nb,2005-12-31\n")
+    (tmp_path / "e.csv").write_text("feature_id,start_time,end_time,duration,gap\na,2004-01-01,2004-12-26,360 days,\nb,2000-01-01,2001-01-01,366 days,\n")
+    runs = (MetricRun("pv_median", part="cond"), MetricRun("soilmoist", source="soil", bins=(-1, 0.25, 0.5, 1), nobaseline=True, part="stress"), MetricRun("soilmoist", source="soil", window=1, trend=None, nobaseline=True, scored=False, tag="_INUNDATION"))
+    specs = (AggregatorSpec("own", ("UID",), identity=True), AggregatorSpec("site", ("SITE", "PART")), AggregatorSpec("all"))
+    cfg = EngineConfig(2000, 2005, (), 5, runs, {"polygons": "fine.shp", "site": "sites.shp", "yearly": "y.csv", "soil": "s.csv", "finals": "f.csv", "events": "e.csv"}, cell=10.0, input_dir=str(tmp_path), output_dir=str(tmp_path / "out"))
+    out = analysis.run(spark, cfg, specs)
+    assert len(out) == 2 + 3 * 3 + 2 * 3 + 3 and "soilmoist_site_1yr_INUNDATION.csv" in out
+    read = lambda n: [r.asDict() for r in spark.read.option("header", True).csv(out[n]).collect()]
+    #: a: mean 1.3333, deviation 0.8165, so 2005 is 2.0413 and the years before -0.4082; b: -0.9129 and 0.9129 in turn.
+    own = {r["UID"]: r for r in read("pv_median_own_5yr.csv")}
+    assert set(own) == {"a", "b", "c"} and own["c"]["grp"] is None
+    z, w = (-0.3333 / 0.8165, 1.6667 / 0.8165), 1 / 1.0954
+    assert float(own["a"]["pv_median2005"]) == round((4 * z[0] + z[1]) / 5, 4) and float(own["a"]["Tpv_median2005"]) == round((z[1] - z[0]) / 2, 4)
+    (site,) = read("pv_median_site_5yr.csv")
+    ave = ((4 * z[0] + z[1]) / 5 * 1 + w / 5 * 3) / 4
+    assert (site["SITE"], site["PART"], float(site["area"])) == ("S", "W", 4) and abs(float(site["pv_median2005"]) - ave) < 1e-3
+    assert float(site["scpv_median2005"]) == 3 and {c[-4:] for c in site if c.startswith("scsum")} == {"2004", "2005"}
+    (dry,) = read("time_since_last_inundation_site_vegetation_stress.csv")
+    #: a: 5 days at the end of 2004; b: 1460 days since 2001-01-01, which is in the second bin.
+    assert float(dry["tsli2004"]) == round((5 + 3 * 1460) / 4, 1) and float(dry["sc_tsli2004"]) == round((3 + 3 * 2) / 4, 1)
+    (final,) = read("FINAL_BWSVulnerability_vegetation_site.csv")
+    assert list(final)[3:] == [f"{k}{y}" for k in ("cond", "stress", "vul") for y in (2004, 2005)]
+    #: 2004: soil 0.5 scores 2, the elapsed time 2.2 (2.25 to one decimal): (4.2 - 2) / 4.
+    assert float(final["stress2004"]) == 0.6 and all(0 <= float(v) <= 1 for k, v in final.items() if k[:3] == "vul")
