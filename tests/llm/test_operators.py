@@ -413,6 +413,52 @@ def test_substring_dedup(spark, empty, most_regions):
     assert suffix.dedup_substrings(empty).count() == 0
 
 
+def test_regions_across_blocks(monkeypatch):
+    """A start's name doesn't depend on where blocks end."""
+    r = random.Random(9)
+    a = np.frombuffer("".join(r.choice("abc ") for _ in range(6000)).encode() + b"ab" * 600, np.uint8)
+
+    def names(block):
+        monkeypatch.setattr(suffix, "BLOCK", block)
+        out = np.zeros(len(a), np.uint64)
+        for name, first, end, _ in suffix.regions(a):
+            for n, x, y in zip(name, first, end, strict=True):
+                out[x:y] = n
+        return out
+
+    whole = names(1 << 20)
+    assert (whole[: len(a) - 199] != 0).all() and all((names(b) == whole).all() for b in (199, 700, 4096))
+
+
+def test_substring_dedup_of_long_texts(spark):
+    """A passage that lies across the end of a block of a text of over a megabyte."""
+    r = random.Random(12)
+    long = "".join(r.choices("abcdefghijklmnopqrstuvwxyz ", k=suffix.BLOCK + 50_000))
+    at = suffix.BLOCK - 150
+    texts = [long, "left " + long[at : at + 260] + " right", "nothing " * 20]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: list(x.spans) for x in suffix.dedup_substrings(df).collect()}
+    want = [at, at + 260]
+    while long[want[1]] == " right"[want[1] - at - 260]:
+        want[1] += 1
+    while long[want[0] - 1] == "left "[want[0] - 1 - at]:
+        want[0] -= 1
+    n = want[1] - want[0]
+    assert got == {0: want, 1: [5 - (at - want[0]), 5 - (at - want[0]) + n], 2: []}
+
+
+def test_long_texts_of_lines_and_shingles(spark):
+    """Line dedup of 60,000 lines, and fingerprints over several slices of 8,192 shingles."""
+    lines = [f"line number {i % 50_000} of many" for i in range(60_000)]
+    df = spark.createDataFrame([(2, "\n".join(lines)), (1, "x\n" + "\n".join(lines[100:40_000]) + "\ny")], "doc_id long, text string")
+    out = {x.doc_id: x for x in line_dedup.dedup_lines(df).collect()}
+    kept = [x for i, x in enumerate(lines) if not 100 <= i % 50_000 < 40_000]
+    assert (out[2].n_lines, out[2].n_dropped, out[2].kept) == (60_000, 60_000 - len(kept), "\n".join(kept))
+    assert (out[1].n_lines, out[1].n_dropped) == (39_902, 0)
+    text = " ".join(f"w{i * i % 7919}" for i in range(20_000))
+    assert simhash.fingerprint(text) == brute_fingerprint(text)
+
+
 def test_suffix_array():
     r = random.Random(1)
     for trial in range(150):
