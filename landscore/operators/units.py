@@ -45,7 +45,11 @@ def time_since_last(events: DataFrame, finals: DataFrame, years: Sequence[int])
     finals: uid, final_date."""
     spine = F.array(*[F.lit(int(y)) for y in sorted(years)])
     #: Every event counts from some year on, so a unit keeps one latest end for each such year, not a copy of each event a year.
-    first = F.get(F.filter(spine, lambda y: F.col("start_time") < last_day(y)), F.lit(0))
+    begun = F.year("start_time")
+    known_by = begun + (F.col("start_time") >= last_day(begun)).cast("int")
+    first = F.lit(None).cast("int")
+    for y in sorted(years, reverse=True):
+        first = F.when(known_by <= y, F.lit(int(y))).otherwise(first)
     ends = events.where("end_time is not null").groupBy("uid", first.alias("first")).agg(F.max("end_time").alias("end")).where("first is not null")
     marks = ends.groupBy("uid").agg(F.collect_list(F.struct("first", "end")).alias("marks"))  # one entry a year at most
     out = finals.join(marks, "uid", "left").withColumn("year", F.explode(spine))
