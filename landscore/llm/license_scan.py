@@ -6,10 +6,11 @@ of a template with fewer). A template of m shingles is looked for in windows of
 m rounded up to a power of two, so every place of c shingles in a row lies in some window. A template
 matches a window if at least CONTAINED of its different shingles are in it.
 
-Only windows that hold a shingle of some template can match one; they are found first, by an equi-join on shingle
-hashes. Their MinHash signature has BANDS bands of one row each. With 0.8 m shared shingles of at most 2 c + 0.2 m <= 4.2 m
-the Jaccard similarity is 0.19 at least, so a match meets its template in some band with probability
-1 - 0.81 ** 64 > 0.999998.
+A window's MinHash signature has BANDS bands of one row each. With 0.8 m shared shingles of at most 2 c + 0.2 m <= 4.2 m the
+Jaccard similarity is 0.19 at least, so a match meets its template in some band with probability 1 - 0.81 ** 64 > 0.999998.
+A window can meet a template in a band only if it holds the shingle that is the template's minimum there. So the bands are
+looked up from the templates' side: these shingles, BANDS a template at most, find the windows by an equi-join on shingle
+hashes, and only for them is the signature computed. No meeting of bands is lost by that.
 
 Defined cases: null or empty texts match nothing and are returned with no templates; rows that repeat a doc_id are judged by
 their own texts; a null doc_id is returned as null; templates without words never match, repeated ones count once; other
@@ -58,16 +59,28 @@ def known_templates(templates: DataFrame) -> DataFrame:
     return t.select("template", F.array_distinct("s").alias("shingles"), "c").distinct()
 
 
+def row_hash(j: Column, shingle: Column) -> Column:
+    return F.xxhash64(F.lit(SEED), j, shingle)
+
+
 def signature(shingles: Column) -> Column:
     """(band, value) of each band."""
-    low = lambda j: F.array_min(F.transform(shingles, lambda x: F.xxhash64(F.lit(SEED), j, x)))
+    low = lambda j: F.array_min(F.transform(shingles, lambda x: row_hash(j, x)))
     return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda j: F.struct(j.alias("band"), low(j).alias("value")))
 
 
+def template_bands(known: DataFrame) -> DataFrame:
+    """template, c, band, value, and h: the shingle that has the band's value."""
+    low = lambda j: F.array_min(F.transform("shingles", lambda x: F.struct(row_hash(j, x).alias("value"), x.alias("h"))))
+    each = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda j: F.struct(j.alias("band"), low(j).alias("low")))
+    return known.select("template", "c", F.explode(each).alias("b")).select("template", "c", "b.band", "b.low.value", "b.low.h")
+
+
 def scan(docs: DataFrame, templates: DataFrame) -> DataFrame:
     """doc_id, templates (sorted names of those found); one row for each input row."""
     known = sized(stage(known_templates(templates), "templates"))
-    wanted = sized(stage(known.select("c", F.explode("shingles").alias("h")).distinct(), "template_shingles"))
+    theirs = sized(stage(template_bands(known), "template_bands"))
+    wanted = sized(stage(theirs.select("c", "h").distinct(), "band_shingles"))
     did, rk = row_key(F.col("doc_id"), F.col("text"))
     keyed = docs.select("doc_id", "text").select("doc_id", did.alias("did"), rk.alias("rk"), words(F.col("text")).alias("w"))
     #: Shingles as zipped, shifted arrays: one row a place, hashed in generated code.
@@ -81,8 +94,7 @@ def scan(docs: DataFrame, templates: DataFrame) -> DataFrame:
     cut = keyed.join(sized(windows), ["did", "rk"]).select("did", "rk", "w", F.explode("windows").alias("x")).select("did", "rk", "x.c", "x.i", F.slice("w", F.col("x.i") * F.col("x.c") + 1, 2 * F.col("x.c") + SHINGLE - 1).alias("w"))
     seen = stage(cut.where(F.size("w") > 0).select("did", "rk", "c", "i", F.array_distinct(shingle_hashes(F.col("w"))).alias("shingles")), "window_shingles")
     bands = seen.select("did", "rk", "c", "i", F.explode(signature(F.col("shingles"))).alias("b")).select("did", "rk", "c", "i", "b.band", "b.value")
-    theirs = known.select("template", "c", F.explode(signature(F.col("shingles"))).alias("b")).select("template", "c", "b.band", "b.value")
-    pairs = bands.join(sized(stage(theirs, "template_bands")), ["c", "band", "value"]).select("did", "rk", "c", "i", "template").distinct()
+    pairs = bands.join(theirs.drop("h"), ["c", "band", "value"]).select("did", "rk", "c", "i", "template").distinct()
     exact = pairs.join(seen, ["did", "rk", "c", "i"]).join(known.select("template", F.col("shingles").alias("t")), "template")
     exact = exact.where(F.size(F.array_intersect("shingles", "t")) >= CONTAINED * F.size("t"))
     per_doc = exact.groupBy("did", "rk").agg(F.array_sort(F.collect_set("template")).alias("templates"))

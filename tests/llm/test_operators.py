@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import struct
 from collections import Counter
 from fractions import Fraction
 
@@ -257,6 +258,48 @@ def test_license_scan(spark, docs, empty):
     assert license_scan.scan(docs, templates.limit(0)).where("size(templates) > 0").count() == 0
 
 
+def brute_scan(text, templates):
+    """All windows, banded and verified one by one."""
+    shingles = lambda w: [" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))] if w else []
+    number = lambda s: xxhash.xxh64_intdigest(s.encode(), seed=42) - (1 << 64) * (xxhash.xxh64_intdigest(s.encode(), seed=42) >> 63)
+    seeds = [xxhash.xxh64_intdigest(struct.pack("<i", j), seed=xxhash.xxh64_intdigest(struct.pack("<i", license_scan.SEED), seed=42)) for j in range(license_scan.BANDS)]
+
+    def low(own, seed):
+        each = (xxhash.xxh64_intdigest(struct.pack("<q", number(s)), seed=seed) for s in own)
+        return min(x - (1 << 64) * (x >> 63) for x in each)
+
+    words, met, matched = WORD.findall(fold(text)), set(), set()
+    for name, t in templates.items():
+        m = shingles(WORD.findall(fold(t)))
+        c, own = 1 << (len(m) - 1).bit_length(), set(m)
+        mine = [low(own, s) for s in seeds]
+        for i in range(0, len(words), c):
+            window = set(shingles(words[i : i + 2 * c + 4]))
+            if len(window & own) >= 0.8 * len(own):
+                matched.add(name)
+                if any(low(window, s) == v for s, v in zip(seeds, mine, strict=True)):
+                    met.add(name)
+    return sorted(met), sorted(matched)
+
+
+def test_license_scan_against_all_windows(spark):
+    r = random.Random(12)
+    names = ["mit", "isc", "mpl-2.0", "gpl-notice", "apache-2.0"]
+    own = {n: license_scan.TEMPLATES[n] for n in names}
+    rows = []
+    for i in range(24):
+        words = own[names[i % 5]].split()
+        for _ in range(r.randint(0, 3)):
+            words[r.randrange(len(words))] = "other"
+        pad = lambda: " ".join(f"w{r.randrange(300)}" for _ in range(r.randint(0, 150)))
+        rows.append((i, f"{pad()} {' '.join(words)} {pad()} {own['mit'] if i % 3 == 0 else ''}"))
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), license_scan.template_table(spark, own))
+    want = {i: brute_scan(t, own) for i, t in rows}
+    assert {x.doc_id: list(x.templates) for x in got.collect()} == {i: x[0] for i, x in want.items()}
+    #: The bands lose no match, and texts with and without matches are both there.
+    assert all(x[0] == x[1] for x in want.values()) and 30 > sum(len(x[1]) for x in want.values()) > 12
+
+
 def brute_top_k(rows, k):
     """By Python's integers: floor(64 x) of each component, every row but the query's own."""
     ok = [(n, i, [math.floor(64 * Fraction(x)) for x in v]) for n, (i, v) in enumerate(rows) if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
