@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from . import decontaminate, langid, license_scan, line_dedup, mixing, sharding,
 from .common import new_folder
 
 TOKENIZER = "byte_bpe_50k.json"
+ARRIVALS = 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,15 +50,32 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def arrivals(spark: SparkSession, sf_dir: str, name: str, most: int) -> Iterator[DataFrame]:
+    """A table's rows in at most so many parts, each of files of its own."""
+    path = f"{sf_dir}/{name}.parquet"
+    whole = spark.read.parquet(path)
+    files = sorted(unquote(f) for f in whole.inputFiles())  # given as encoded URIs
+    if len(files) < 2:
+        yield whole
+        return
+    for k in range(most):
+        own = files[k * len(files) // most : (k + 1) * len(files) // most]
+        if own:
+            yield spark.read.schema(whole.schema).option("basePath", path).parquet(*own)
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The compacted store's rows, each with the shard that holds it, read through the manifest."""
+    """The compacted store's rows, each with the shard that holds it, read through the manifest. The table comes in ARRIVALS
+    arrivals, or one for each file if there are fewer; each is followed by a compaction."""
     store = sharding.Store(spark, new_folder(spark, "store"))
-    store.append(table(spark, sf_dir, "documents"))
-    store.compact()
-    store.vacuum()
-    #: A merged run, or a part of an arrival and its file's number; the file's own name has a random part.
+    for docs in arrivals(spark, sf_dir, "documents", ARRIVALS):
+        store.append(docs)
+        store.compact()
+        store.vacuum()
+    #: The version that wrote it, and a merged run, or a part of an arrival and its file's number; the rest is random.
     part = F.concat(F.regexp_extract("shard", r"(part-\d+)", 1), F.regexp_extract("shard", r"(-c\d+)\.", 1))
-    shard = F.when(F.col("shard").contains("_run="), F.regexp_extract("shard", r"(_run=\d+)", 1)).otherwise(part)
+    own = F.when(F.col("shard").contains("_run="), F.regexp_extract("shard", r"(_run=\d+)", 1)).otherwise(part)
+    shard = F.concat_ws("/", F.regexp_extract("shard", r"^(\d+)-", 1), own)
     return store.read().select("doc_id", F.sha2(F.col("text"), 256).alias("text_sha256"), "lang", "source", "n_chars", shard.alias("shard"))
 
 

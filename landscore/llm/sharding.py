@@ -128,6 +128,10 @@ class Store:
             raise
         return out
 
+    def _folder(self) -> str:
+        """A new name under data/: the version it is meant for, and a random part (another writer may mean the same)."""
+        return f"{self.version() + 1:06d}-{uuid.uuid4().hex}"
+
     def _written(self, folder: str) -> list[dict]:
         """The new files of a job, with rows from their footers' sums."""
         fs, p = hadoop_path(self.spark, f"{self.root}/data/{folder}")
@@ -148,7 +152,7 @@ class Store:
     def append(self, df: DataFrame, small_rows: int = 0) -> dict:
         """A new version with an arrival's rows as shards, one or more for each of its partitions. small_rows: how many rows
         a shard has at most; 0: as many as the mean size of the arrival's rows allows (one more pass over it)."""
-        folder = uuid.uuid4().hex
+        folder = self._folder()
         small_rows = small_rows or max(1, int(self.target / self.fanout / max(1.0, row_bytes(df))))
         df.write.option("compression", "zstd").option("maxRecordsPerFile", small_rows).parquet(f"{self.root}/data/{folder}")
         new = self._written(folder)
@@ -168,7 +172,7 @@ class Store:
             split = oversized(base["shards"], self.target)
             if not runs and not split:
                 return base
-            folder = uuid.uuid4().hex
+            folder = self._folder()
             gone = self._rewrite(base["schema"], runs, split, folder)
             new = self._written(folder)
             while gone <= {s["file"] for s in base["shards"]}:

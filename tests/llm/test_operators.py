@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from landscore.llm import decontaminate, langid, license_scan, line_dedup, mixing, near_copies, seen, sharding, simhash, suffix, token_counts, topk
+from landscore.llm import decontaminate, langid, license_scan, line_dedup, mixing, near_copies, queries, seen, sharding, simhash, suffix, token_counts, topk
 from landscore.llm.common import new_folder
 from landscore.llm.graph import components
 
@@ -720,6 +720,21 @@ def test_sharding_beside_other_writers(spark):
         assert not fs.exists(p) and store.read().count() == 300 + extra
 
 
+def test_sharding_of_several_arrivals(spark, tmp_path):
+    """The query over a table of several files, in a folder with a blank and a percent sign, and over one file."""
+    rows = [(i, f"text {i} " * 50 if i % 7 else None, "en", f"s{i % 3}", i) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for folder, files in (("odd %20 dir", 6), ("one", 1)):
+        sf_dir = str(tmp_path / folder)
+        df.repartition(files).write.parquet(f"{sf_dir}/documents.parquet")
+        parts = list(queries.arrivals(spark, sf_dir, "documents", 4))
+        assert len(parts) == min(files, 4) and sum(p.count() for p in parts) == 400
+        got = queries.op7_sharding(spark, sf_dir).collect()
+        assert sorted(r.doc_id for r in got) == list(range(400)) and all((r.text_sha256 is None) == (r.doc_id % 7 == 0) for r in got)
+        #: Four small shards of a tier, one from each arrival (or two), are one run.
+        assert len({r.shard for r in got}) <= min(files, 3)
+
+
 def test_sharding_large_partition(spark):
     """One arrival of one large partition: small shards that tiers merge, or one shard that is split; then near the target."""
     r = random.Random(8)
