@@ -145,7 +145,8 @@ class Store:
         if not files:
             return []
         counts = self.spark.read.parquet(*[f for f, _ in files]).groupBy(F.col("_metadata.file_path").alias("f")).count()
-        rows = {r["f"].split("/data/", 1)[1]: r["count"] for r in counts.toLocalIterator()}
+        #: A row a file, as the manifest has. One job: toLocalIterator() runs one for each shuffle partition.
+        rows = {r["f"].split("/data/", 1)[1]: r["count"] for r in counts.collect()}
         out = [{"file": f.split("/data/", 1)[1], "bytes": n} for f, n in files]
         return [s | {"rows": rows[s["file"]], "tier": tier(s["bytes"], self.fanout)} for s in out if rows.get(s["file"])]
 
@@ -187,19 +188,15 @@ class Store:
         kind = StructType.fromJson(json.loads(schema))
         to, path, row = fresh(kind.names, "_run", "_path", "_row")
         n = len(runs) + sum(k for _, k in split)
-        #: Numbers of runs that hash to partitions of their own, so no task gets two runs.
-        spot = F.pmod(F.hash(F.col("id").cast("int")), F.lit(n))
-        numbers = [r["id"] for r in self.spark.range(40 * n + 1000).groupBy(spot).agg(F.min("id").alias("id")).toLocalIterator()]
-        numbers = sorted(numbers) if len(numbers) == n else list(range(n))
-        where = [(s["file"], [i]) for i, run in zip(numbers, runs, strict=False) for s in run]
-        rest = iter(numbers[len(runs) :])
+        where = [(s["file"], [i]) for i, run in enumerate(runs) for s in run]
+        rest = iter(range(len(runs), n))
         where += [(s["file"], [next(rest) for _ in range(k)]) for s, k in split]
         table = self.spark.createDataFrame(where, StructType().add(path, "string").add(to, ArrayType(IntegerType())))
         rows = self.spark.read.schema(kind).parquet(*[f"{self.root}/data/{f}" for f, _ in where])
         rows = rows.withColumns({path: F.element_at(F.split("_metadata.file_path", "/data/"), -1), row: F.col("_metadata.row_index")})
         rows = rows.join(F.broadcast(table) if len(where) <= BROADCAST_ROWS else table, path)
         rows = rows.withColumn(to, F.get(to, F.pmod(row, F.size(to)).cast("int"))).drop(path, row)
-        rows.repartition(n, to).write.option("compression", "zstd").partitionBy(to).parquet(f"{self.root}/data/{folder}")
+        rows.repartitionById(n, F.col(to)).write.option("compression", "zstd").partitionBy(to).parquet(f"{self.root}/data/{folder}")
         return {f for f, _ in where}
 
     def read(self, version: int | None = None) -> DataFrame:
