@@ -113,7 +113,8 @@ def seen_twice(hashes: DataFrame, segments: int | None = None, most_bytes: int =
 
     seg = (F.shiftrightunsigned("h", 32) % segments).cast("int").alias("segment")
     dealt = hashes.select(seg, "h", "twice").repartition(F.col("segment"))
-    found = {r["segment"]: bytes(r["filter"]) for r in dealt.mapInArrow(run, "segment int, filter binary").toLocalIterator()}
+    #: At most most_bytes in all. One job: toLocalIterator() would build the filters of one partition after the other.
+    found = {r["segment"]: bytes(r["filter"]) for r in dealt.mapInArrow(run, "segment int, filter binary").collect()}
     return spark.sparkContext.broadcast((found, segments))
 
 
