@@ -236,7 +236,7 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, order:
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in hit], pa.string()), pa.array([x[1] for x in hit], pa.float64())], ["lang", "h"])
 
         most = rows.where("calibrate").select("lang", "text").mapInArrow(run, "lang string, h double").groupBy("lang").agg(F.max("h").alias("h"))
-        for r in most.toLocalIterator():
+        for r in most.collect():  # a row a label, as the model has
             model.limits[model.langs.index(r["lang"])] = r["h"] + SLACK
     return model
 
