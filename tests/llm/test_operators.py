@@ -335,6 +335,41 @@ def test_top_k_of_large_components(spark, shard):
     assert got == [(20_000, 1, 1, 2_457_600_020_480), (20_000, 2, 2, 83_886_489_600)]
 
 
+
+def test_top_k_of_mixed_sizes(spark):
+    """Components of one byte, two bytes and more in one shard, groups of copies, leaves and shards with fewer than k."""
+    r = np.random.default_rng(7)
+    rows = [(i, [float(x) for x in r.normal(size=12) * s]) for i, s in enumerate([0.1, 3.0, 700.0, 20_000.0] * 60)]
+    rows += [(300 + i, rows[i % 3][1]) for i in range(60)] + [(20, rows[20][1]), (20, [0.01] * 3), (-1, rows[0][1]), (-20, rows[3][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    for k, shard, leaf in ((30, 4096, 8), (30, 50, 8), (5, 100, 4)):
+        assert by_row(topk.top_k(df, F.col("vec_id") % 20 == 0, k=k, shard=shard, leaf=leaf)) == brute_top_k(rows, k)
+
+
+@pytest.mark.parametrize(("width", "steps", "share"), [(64, 100, 1.0), (2, 100, 0.2)])
+def test_top_k_steps(monkeypatch, width, steps, share):
+    """Where boxes prune nothing, a block and a tree are multiplied in few steps, not leaf by leaf; where they do, few leaves are
+    opened. No candidate that counts is lost."""
+    r = np.random.default_rng(2)
+    x = r.integers(-30, 30, size=(8192, width)).astype(np.int8)
+    order, ends = topk.leaves(x)
+    tree = topk.Tree(order, order, topk.Rows("b", x[order], 64), ends)
+    best = topk.Best(np.arange(400), topk.Rows("b", x[:400], 64), 20, np.full(400, -np.inf))
+    seen, meet = [], topk.Best.meet
+    monkeypatch.setattr(topk.Best, "meet", lambda self, at, ids, rows, new: (seen.append(new.size), meet(self, at, ids, rows, new))[1])
+    tree.search(best, 64)
+    best.settle()
+    assert len(seen) <= steps and sum(seen) <= share * 1.1 * 400 * 8192
+    scores = x[:400].astype(int) @ x.T.astype(int)
+    scores[np.arange(400), np.arange(400)] = -(10**9)
+    want = np.lexsort((np.broadcast_to(np.arange(8192), scores.shape), -scores), axis=1)[:, :20]
+    assert (best.ids == want).all() and (best.scores == np.take_along_axis(scores, want, 1)).all()
+    again = topk.Best(np.arange(400), topk.Rows("b", x[:400], 64), 20, best.least)  # a threshold that ties must reach
+    tree.search(again, 64)
+    again.settle()
+    assert (again.ids == want).all()
+
+
 def test_line_dedup(spark, empty):
     texts = ["Common line here\nown one of this\nshort", "  COMMON line here \nshort\nx\nCommon line here", None, "", "\n\nown two, 3 of it\n", "Common line here", "ÀÀÀÀÀÀÀÀÀ\nown", "ÀÀÀÀÀÀÀÀÀ", "àààààààààà", "àààààààààà\n" + "z" * 90_000]
     rows = [(i, t, "k") for i, t in enumerate(texts)] + [(1, texts[1], "k"), (None, texts[0], "k")]
